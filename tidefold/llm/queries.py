@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate, quality, records
+from .common import shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
 def tokenizer_path(name: str) -> str:
@@ -32,5 +34,24 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), codec(), "doc_id", "text", schema, bpe.digests)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode,)}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = decontaminate.n_hit()
+    items = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("item_ids").cast("bigint").alias("n_items"), items.alias("items_sha256"), (hits > 0).alias("contaminated"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "records")
+    records.write(table(spark, sf_dir, "documents"), records.WordEncoder(tokenizer_path("word_bpe_49k.json")), path)
+    found = records.index(spark, path)
+    return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op9_token_records)}
 ORACLE: dict[str, str] = {}
