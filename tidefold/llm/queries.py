@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, records
+from . import bpe, decontaminate, langid, quality, records
 from .common import shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -46,6 +46,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def fold(buckets: int):
+    """The document's fold: crc32 of its id as text, modulo ``buckets``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % buckets
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.train(documents.where(fold(4) != 2), order=F.xxhash64("doc_id"))
+    found = langid.predict(documents, model)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "records")
     records.write(table(spark, sf_dir, "documents"), records.WordEncoder(tokenizer_path("word_bpe_49k.json")), path)
@@ -53,5 +65,5 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op9_token_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op5_language_id, op9_token_records)}
 ORACLE: dict[str, str] = {}
