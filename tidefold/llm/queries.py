@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, quality, records
-from .common import shared_dir
+from . import bpe, decontaminate, langid, quality, records, warc
+from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
 def tokenizer_path(name: str) -> str:
@@ -58,6 +58,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    captures = materialize(warc.read(spark, path), "warc-runs")
+    return warc.merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "file", "offset", "length")
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "records")
     records.write(table(spark, sf_dir, "documents"), records.WordEncoder(tokenizer_path("word_bpe_49k.json")), path)
@@ -65,5 +72,5 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op5_language_id, op9_token_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op5_language_id, op6_warc_index, op9_token_records)}
 ORACLE: dict[str, str] = {}
