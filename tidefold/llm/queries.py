@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, quality, records, warc
+from . import bpe, decontaminate, langid, pii, quality, records, warc
 from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -41,6 +41,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("item_ids").cast("bigint").alias("n_items"), items.alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.SAMPLE_KEY, kinds="kinds")
+    return found.select("doc_id", "text", F.size("kinds").cast("bigint").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
@@ -72,5 +77,5 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op4_quality_rules, op5_language_id, op6_warc_index, op9_token_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op9_token_records)}
 ORACLE: dict[str, str] = {}
