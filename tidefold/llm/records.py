@@ -105,9 +105,6 @@ class WordEncoder:
 
     def _learn(self, words: set[str]) -> None:
         memo, older = self.memo, self.older
-        if len(memo) > MEMO_WORDS:
-            self.older, self.memo = memo, {}
-            memo, older = self.memo, self.older
         parts, composed = set(), []
         for w in words:
             if w in older:
@@ -127,11 +124,14 @@ class WordEncoder:
         """The ids of each text, with the id ``end`` after them if given."""
         self.start()
         split = [None if any(m in t for m in self.marks) else t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.memo) > MEMO_WORDS:
+            self.older, self.memo = self.memo, {}
         memo = self.memo
         missing = {w for words in split if words for w in words if w not in memo}
         if missing:
             self._learn(missing)
-        memo, tail, out = self.memo, () if end is None else (end,), []
+        tail: tuple[int, ...] = () if end is None else (end,)
+        out = []
         for t, words in zip(texts, split, strict=True):
             if words is None:
                 ids = [*self.tokenizer.encode(t, add_special_tokens=False).ids, *tail]
