@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, pii, quality, records, warc
+from . import bpe, decontaminate, jaccard, langid, pii, quality, records, warc
 from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -70,6 +70,10 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "file", "offset", "length")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "records")
     records.write(table(spark, sf_dir, "documents"), records.WordEncoder(tokenizer_path("word_bpe_49k.json")), path)
@@ -77,5 +81,5 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op9_token_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op8_ngram_jaccard_join, op9_token_records)}
 ORACLE: dict[str, str] = {}
