@@ -41,7 +41,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(CLEANUP, before)
     gc.collect()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidefold_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a materialized table that no later step reads."""
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(df._tidefold_path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
@@ -117,7 +126,7 @@ def rolling_hash(sums: np.ndarray, width: int) -> np.ndarray:
     if n < width:
         return np.zeros(0, np.uint64)
     raw = (sums[width:] - sums[:-width]) * _power(_STEP, n - width + 1)
-    return mix64(raw + np.uint64(width) * _ODD2)
+    return mix64(raw + np.uint64(width * int(_ODD2) % (1 << 64)))
 
 
 def window_hash(ids: np.ndarray, width: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, langid, pii, quality, records, warc
+from . import bpe, decontaminate, jaccard, langid, pii, quality, records, repeats, warc
 from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -81,5 +81,11 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32", "file", "offset", "length")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op8_ngram_jaccard_join, op9_token_records)}
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op8_ngram_jaccard_join, op9_token_records, op10_repeated_strings)}
 ORACLE: dict[str, str] = {}
