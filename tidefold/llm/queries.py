@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, langid, pii, quality, records, repeats, warc
+from . import bpe, brown, decontaminate, jaccard, langid, pii, quality, records, repeats, warc
 from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -70,6 +70,11 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "file", "offset", "length")
 
 
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = brown.score(table(spark, sf_dir, "documents"), fold(10) != 0)
+    return found.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
@@ -87,5 +92,5 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op8_ngram_jaccard_join, op9_token_records, op10_repeated_strings)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op7_brown_lm, op8_ngram_jaccard_join, op9_token_records, op10_repeated_strings)}
 ORACLE: dict[str, str] = {}
