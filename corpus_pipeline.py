@@ -1,19 +1,58 @@
-"""Corpus pipeline: filter, deduplicate, decontaminate, pseudonymise and encode ``documents``."""
+"""Corpus pipeline over ``documents``: language ID, near-duplicate removal, decontamination, pseudonyms, BPE.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written to the cluster's shared folder and
+read back as the next one's docs.  All stages but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidefold.llm import bpe, decontaminate, jaccard, langid, pii
+from tidefold.llm.common import materialize
+from tidefold.llm.queries import codec, table
+
+#: Documents whose calibrated probability of the predicted language is less are rejected.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the classifier knows; texts without letters and doubtful ones go."""
+    found = langid.predict(docs, langid.train(docs, order=F.xxhash64("doc_id")), keep=tuple(docs.columns))
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 on five-word shingles, the document with the smallest id."""
+    kept = jaccard.join(docs, width=5, percent=80).where("component_id = doc_id").select("doc_id")
+    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), action="remove_documents")
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets replaced by pseudonyms of the same format."""
+    return pii.pseudonymise(docs, pii.SAMPLE_KEY)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens, and the text decoded from the ids."""
+    encoded = bpe.encode(docs.select("doc_id", "text"), codec(), out="ids").drop("text")
+    return bpe.decode(encoded, codec(), out="text").select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "text")
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pseudonyms", pseudonyms), ("tokens", tokens)]
 
-STAGES: list = []
-ORACLE_SQL = None  # the stages are not expressible in SQL; tests compare with brute force
+ORACLE_SQL = None  # no stage but the decontamination can be put in SQL; tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidefold.llm.common import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = materialize(docs, name)
-    return docs
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

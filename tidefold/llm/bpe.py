@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -42,6 +44,8 @@ CHUNK = f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 MEMO_WORDS = 100_000
 #: Transitions kept in the table of each Python worker; it is filled anew when full.
 PAIRS = 500_000
+#: Texts handled at a time as Python objects.
+ROWS = 128
 
 
 def byte_characters() -> dict[str, int]:
@@ -258,7 +262,12 @@ def encode(df: DataFrame, codec: Codec, text: str = "text", out: str = "ids") ->
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = at.value
         for batch in batches:
-            yield pa.array([codec.encode(x or "") for x in batch.to_pylist()], pa.list_(pa.int32()))
+            flat, offsets = array("i"), [0]
+            for a in range(0, len(batch), ROWS):  # few texts at a time as Python objects
+                for x in batch.slice(a, ROWS).to_pylist():
+                    flat.extend(codec.encode(x or ""))
+                    offsets.append(len(flat))
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
 
     return df.withColumn(out, ids(F.col(text)))
 
@@ -271,7 +280,10 @@ def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "text") ->
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = at.value
         for batch in batches:
-            yield pa.array([codec.decode(x or []).decode("utf-8", "replace") for x in batch.to_pylist()], pa.string())
+            texts = []
+            for a in range(0, len(batch), ROWS):
+                texts += [codec.decode(x or []).decode("utf-8", "replace") for x in batch.slice(a, ROWS).to_pylist()]
+            yield pa.array(texts, pa.string())
 
     return df.withColumn(out, texts(F.col(ids)))
 
