@@ -1 +1 @@
-
+"""Operators: framing, filters, folding, batching, DDL, SQL text, advice and repair."""

@@ -1 +1 @@
-
+"""Stored state, federated tables, base backups and the query catalog."""

@@ -1 +1 @@
-
+"""Structured Streaming: chunks to spool, spool to federated tables."""
