@@ -19,8 +19,8 @@ LEAST_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier knows; texts without letters and doubtful ones go."""
-    found = langid.predict(docs, langid.train(docs, order=F.xxhash64("doc_id")), keep=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    found = langid.predict(docs, langid.train(docs, order=F.xxhash64("doc_id")), keep=tuple(docs.columns), names=("_tf_lang", "_tf_score"))
+    return found.where((F.col("_tf_lang") != langid.UNDETERMINED) & (F.col("_tf_score") >= LEAST_SCORE)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,10 +80,10 @@ class MergeAutomaton:
     def _gadget(self, time: int, u: int, v: int, label: bytes, w: int) -> None:
         if w in self.born or len(label) == 1:
             raise ValueError(f"two merges give {label!r}")
-        if label[: len(self.labels[u])] not in self.live or self.labels[v] not in self.live:
+        if any(len(self.labels[x]) > 1 and x not in self.born for x in (u, v)):
             raise ValueError(f"the parts of {label!r} are merged after it")
-        if self._open(u, v):
-            self.live[label] = w
+        if self.labels[u] in self.live and self.labels[v] in self.live and self._open(u, v):
+            self.live[label] = w  # otherwise no path ever takes this arc
         self.cut[u, v] = time
         self.born[w], self.left[w], self.right[w] = time, u, v
 

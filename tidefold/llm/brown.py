@@ -130,7 +130,7 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 4) -> np.ndarray:
             m[k] -= to
             m[:, k] -= since
             m[k, k] -= own
-            row, column = m.sum(axis=1), m.sum(axis=0)
+            row, column = m.sum(axis=1) + since, m.sum(axis=0) + to  # wherever the word goes
             out, into = to.sum() + own, since.sum() + own
             gain = (f(m[:classes] + to) - f(m[:classes])).sum(axis=1) + (f(m[:, :classes].T + since) - f(m[:, :classes].T)).sum(axis=1)
             d = m[inner, inner]
@@ -159,8 +159,10 @@ class Model:
         of = np.concatenate((classes, [self.rare, self.bound])).astype(np.int64)
         m = np.zeros((n_classes + 2, n_classes + 2))
         np.add.at(m, (of[:, None].repeat(len(of), 1), of[None, :].repeat(len(of), 0)), pairs)
-        share = (m.sum(axis=0) + 1) / (m.sum() + len(m))
-        self.transition = np.log10((m + PRIOR * share) / (m.sum(axis=1, keepdims=True) + PRIOR))
+        some = np.isin(np.arange(len(m)), of)  # classes with members
+        share = (m.sum(axis=0) + some) / (m.sum() + some.sum())
+        with np.errstate(divide="ignore"):
+            self.transition = np.log10((m + PRIOR * share) / (m.sum(axis=1, keepdims=True) + PRIOR))
         #: the class of each frequent word; the last entry is for all others
         self.of = np.concatenate((classes, np.full(len(c) - len(classes), self.rare))).astype(np.int64)
         in_class = np.bincount(classes, c[: len(classes)], n_classes) if len(classes) else np.zeros(n_classes)

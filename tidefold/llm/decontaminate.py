@@ -100,12 +100,17 @@ def portions(benchmark: DataFrame, item: str, text: str, portion_bytes: int) ->
     yield rows
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 10, portion_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``key``, the columns ``keep``, n_words, word_spans, byte_spans and item_ids."""
+def scan(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 10, portion_bytes: int = 16 << 20, keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+    """One row per document: ``key``, the columns ``keep``, n_words, word_spans, byte_spans and item_ids.
+
+    ``prefix`` is put before these names; a column of ``keep`` with one of them is replaced.  Where several portions
+    are needed, ids are unique.
+    """
     spark = documents.sparkSession
     kept = [c for c in dict.fromkeys((key, *keep, text))]
-    out_names = [c for c in kept if c in (key, *keep)]
-    added = T.StructType.fromDDL(f"n_words bigint, word_spans {SPANS}, byte_spans {SPANS}, item_ids array<string>")
+    n_words, word_spans, byte_spans, item_ids = new = [prefix + x for x in ("n_words", "word_spans", "byte_spans", "item_ids")]
+    out_names = [c for c in kept if c in (key, *keep) and c not in new]
+    added = T.StructType.fromDDL(f"{n_words} bigint, {word_spans} {SPANS}, {byte_spans} {SPANS}, {item_ids} array<string>")
     schema = T.StructType([*documents.select(*out_names).schema, *added])
 
     def one_pass(items: list[tuple[str, str]]) -> DataFrame:
@@ -129,7 +134,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", tex
         both = both.unionAll(p)
     # several portions: one row per portion and document meet again, and their spans are united
     own = [c for c in out_names if c != key]
-    merged = both.groupBy(key).agg(*(F.first(c).alias(c) for c in own), F.first("n_words").alias("n_words"), *(_united(F.flatten(F.collect_list(c))).alias(c) for c in ("word_spans", "byte_spans")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    merged = both.groupBy(key).agg(*(F.first(c).alias(c) for c in own), F.first(n_words).alias(n_words), *(_united(F.flatten(F.collect_list(c))).alias(c) for c in (word_spans, byte_spans)), F.array_sort(F.array_distinct(F.flatten(F.collect_list(item_ids)))).alias(item_ids))
     return merged.select(schema.names)
 
 
@@ -142,9 +147,9 @@ def _united(spans):
     )
 
 
-def n_hit():
+def n_hit(prefix: str = ""):
     """Hit words of a scanned row."""
-    return F.aggregate("word_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return F.aggregate(f"{prefix}word_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, *, action: str = "remove_documents", max_hit_share: float = 0.0, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -153,15 +158,14 @@ def clean(documents: DataFrame, benchmark: DataFrame, *, action: str = "remove_d
     ``remove_documents`` drops documents with more than ``max_hit_share`` of their words hit;
     ``remove_spans`` cuts the hit words out of the text and keeps every document.
     """
-    names = documents.columns
-    found = scan(documents, benchmark, key=key, text=text, keep=tuple(names), **options)
+    names, p = documents.columns, "_tf_"
+    found = scan(documents, benchmark, key=key, text=text, keep=tuple(names), prefix=p, **options)
     if action == "remove_documents":
-        return found.where(n_hit() <= max_hit_share * F.col("n_words")).select(names)
+        return found.where(n_hit(p) <= max_hit_share * F.col(f"{p}n_words")).select(names)
     if action != "remove_spans":
         raise ValueError(f"unknown action {action!r}")
-    raw = F.encode(text, "utf-8")
-    starts = F.transform("byte_spans", lambda s: s["end"])
-    ends = F.transform("byte_spans", lambda s: s["start"])
-    gaps = F.arrays_zip(F.concat(F.array(F.lit(0).cast("bigint")), starts).alias("a"), F.concat(ends, F.array(F.octet_length(text).cast("bigint"))).alias("b"))
-    rest = F.array_join(F.transform(gaps, lambda g: F.decode(F.substring(raw, (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")), "utf-8")), "")
-    return found.withColumn(text, F.when(F.size("byte_spans") > 0, rest).otherwise(F.col(text))).select(names)
+    raw, spans = F.encode(text, "utf-8"), f"{p}byte_spans"
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(text).cast("bigint")))
+    pieces = F.zip_with(starts, ends, lambda a, b: F.decode(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")), "utf-8"))
+    return found.withColumn(text, F.when(F.size(spans) > 0, F.array_join(pieces, "")).otherwise(F.col(text))).select(names)

@@ -59,6 +59,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] |= is_letter[:-1]
     begin = np.concatenate(([0], ends[:-1]))
     keep[begin] = True
+    keep[ends[-1] :] = False
     code = np.where(is_letter, buf, 32)
     at = np.cumsum(keep) - 1
     code = code[keep]
@@ -68,6 +69,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     b[:-1], b[-1] = code[1:], 32
     c = np.empty_like(a)
     c[:-2], c[-2:] = code[2:], 32
+    c[np.concatenate((begins[1:], [len(code)])) - 1] = 32  # n-grams end with their text
     two = (a ^ (b * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D)
     three = (two ^ (c * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
     shift = np.uint32(32 - BITS)
@@ -197,12 +199,15 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order
     return Model(languages, (w * idf[:, None]).astype(np.float32), bias, temperature(logits, classes[held]))
 
 
-def predict(documents: DataFrame, model: Model, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with lang_pred and score for every row; a narrow step."""
+def predict(documents: DataFrame, model: Model, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` with the language and its score, called ``names``, for every row; a narrow step.
+
+    A column of ``keep`` with one of these names is replaced.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # COLUMNS rows, whatever the data
     kept = list(dict.fromkeys((*keep, text)))
-    out = [c for c in kept if c in keep]
-    schema = T.StructType([*documents.select(*out).schema, *T.StructType.fromDDL("lang_pred string, score double")])
+    out = [c for c in kept if c in keep and c not in names]
+    schema = T.StructType([*documents.select(*out).schema, *T.StructType.fromDDL(f"`{names[0]}` string, `{names[1]}` double")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

@@ -74,9 +74,9 @@ def statistics(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def features(documents: DataFrame, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with the COUNTS of every whole text; a narrow step."""
+    """The columns ``keep`` with the COUNTS of every whole text; a narrow step.  A column of their names is replaced."""
     kept = list(dict.fromkeys((*keep, text)))
-    out = [c for c in kept if c in keep]
+    out = [c for c in kept if c in keep and c not in COUNTS]
     schema = T.StructType([*documents.select(*out).schema, *T.StructType.fromDDL(", ".join(f"{c} bigint" for c in COUNTS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
