@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, brown, decontaminate, jaccard, langid, pii, quality, records, repeats, warc
+from . import bpe, brown, decontaminate, jaccard, langid, oracle, pii, quality, records, repeats, warc
 from .common import materialize, shared_dir
 
 #: Folder of the public tokenizers; a parameter, never copied.
@@ -67,7 +67,7 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
     captures = materialize(warc.read(spark, path), "warc-runs")
-    return warc.merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts", "file", "offset", "length")
+    return warc.merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +93,4 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_decontaminate, op3_pii_pseudonyms, op4_quality_rules, op5_language_id, op6_warc_index, op7_brown_lm, op8_ngram_jaccard_join, op9_token_records, op10_repeated_strings)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.SQL)
