@@ -40,4 +40,18 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) AS c USING (doc_id)
 """
 
-SQL = {"op2_decontaminate": DECONTAMINATE, "op6_warc_index": WARC, "op8_ngram_jaccard_join": JACCARD}
+REPEATS = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(b[i : i + 199]) AS h FROM (SELECT *, unnest(range(1, n - 198)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+g AS (SELECT *, CASE WHEN i > lag(i) OVER o + 200 OR lag(i) OVER o IS NULL THEN 1 ELSE 0 END AS new FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY doc_id, k),
+p AS (SELECT doc_id, a, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 1) AS since, e FROM s),
+k AS (SELECT doc_id, sum(e - a) AS removed, count(*) AS spans, max(e) AS last FROM s GROUP BY doc_id),
+x AS (SELECT doc_id, string_agg(hex(b[since : a - 1]), '' ORDER BY a) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || hex(b[coalesce(last, 1) : n]))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN x USING (doc_id)
+"""
+
+SQL = {"op2_decontaminate": DECONTAMINATE, "op6_warc_index": WARC, "op8_ngram_jaccard_join": JACCARD, "op10_repeated_strings": REPEATS}
