@@ -57,3 +57,40 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_spool(spark, tmp_path):
+    from tidefold.plans.spool import SCHEMA, Spool
+
+    spool = Spool(spark, str(tmp_path / "spool"))
+    spool.bootstrap()
+    assert spool.read().count() == 0
+    rows = [(None, f"db{i % 2}", i, i // 3, "{}", None, f"slot{i % 2}") for i in range(9)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("insert_timestamp", F.timestamp_seconds(F.lit(7)))
+    assert spool.append(frame.where("lsn_start < 6"), "a") and spool.append(frame.where("lsn_start >= 6"), "b")
+    assert not spool.append(frame, "a")  # tried again
+    assert [r["lsn_start"] for r in spool.ordered().collect()] == list(range(9)) and spool.read("db1").count() == 4
+    assert (spool.last_flushed("slot0"), spool.last_flushed("slot1"), spool.last_flushed("new")) == (8, 7, 0)
+    spool.keepalive("slot1", 20)
+    spool.keepalive("slot1", 3)
+    assert spool.last_flushed("slot1") == 20
+    spool.clean(["a"], str(tmp_path / "archive"))
+    assert spool.read().count() == 3 and spark.read.parquet(str(tmp_path / "archive/a")).count() == 6
+
+
+def test_restore(spark):
+    from tidefold.plans.restore import restore_schema
+
+    ran = []
+
+    def execute(s):
+        if "bad" in s:
+            raise ValueError("no")
+        ran.append(s)
+
+    statements = ["CREATE SCHEMA a;", "CREATE TABLE a.t (x int);", "CREATE TABLE a.gone (x int);", "CREATE VIEW a.bad AS SELECT 1;", "GRANT SELECT ON a.t TO me;", "ALTER TABLE a.t ADD CONSTRAINT f FOREIGN KEY (x) REFERENCES a.u (x);", "ALTER TABLE a.u ADD CONSTRAINT k PRIMARY KEY (x);", "CREATE INDEX i ON a.t (x);"]
+    out = restore_schema(spark, statements, execute, blacklist={("table", "a.gone")}, failable={("view", "a.bad")})
+    assert ran == out.executed == statements[:2] and out.failed == [(statements[3], "no")]
+    assert out.post == [statements[6], statements[5]] and set(out.skipped) == {statements[2], statements[4], statements[7]}
+    with pytest.raises(ValueError, match="no"):
+        restore_schema(spark, ["CREATE VIEW a.bad AS SELECT 1;"], execute)

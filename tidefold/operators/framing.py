@@ -49,6 +49,27 @@ def assemble(chunks: DataFrame) -> DataFrame:
     return known.where("complete = 1 AND kind = 'regular'").select("slot", "txn", "seq", "xid", "committed", "n", payload(F.col("chunk")).alias("payload"))
 
 
+def copy_data(message: Column) -> dict[str, Column]:
+    """Fields of a copy-data message: kind (``data`` or ``keepalive``), start and end positions, the source's clock in
+    microseconds since 2000, the chunk, and whether an answer is asked for.
+
+    Data: ``w``, three int64 in network order, the chunk.  Keepalive: ``k``, end and clock, one byte.
+    """
+    from ..functions.lsn import int64_from_network
+
+    first = F.decode(F.substring(message, 1, 1), "us-ascii")
+    data, alive = first == "w", first == "k"
+    number = lambda at: int64_from_network(F.substring(message, at, 8))
+    return {
+        "kind": F.when(data, "data").when(alive, "keepalive").otherwise(F.raise_error(F.concat(F.lit("unknown message: "), first))),
+        "start_lsn": F.when(data, number(2)),
+        "end_lsn": F.when(data, number(10)).otherwise(number(2)),
+        "clock": F.when(data, number(18)).otherwise(number(10)),
+        "chunk": F.when(data, F.decode(F.substring(message, 26, 2147483647), "utf-8")),
+        "reply": F.when(alive, F.hex(F.substring(message, 18, 1)) != "00"),
+    }
+
+
 def transactions(chunks: DataFrame) -> DataFrame:
     """Slot, xid, commit time and number of changes of each whole transaction."""
     return assemble(chunks).groupBy("slot", "txn", "xid", "committed").agg(F.count("*").alias("n_changes")).drop("txn")

@@ -228,6 +228,18 @@ def int64_codec(spark, sf_dir):
     return wire.select("event_id", lsn.int64_from_network(F.col("b")).alias("value"), F.hex("b").alias("wire"))
 
 
+@query("""SELECT event_id, CASE WHEN event_type = 'view' THEN 'keepalive' ELSE 'data' END AS kind, CASE WHEN event_type <> 'view' THEN event_id * 16 END AS start_lsn,
+  event_id * 16 + 8 AS end_lsn, event_id * 1000 AS clock, CASE WHEN event_type <> 'view' THEN props END AS chunk, CASE WHEN event_type = 'view' THEN event_id % 2 = 1 END AS reply FROM events""")
+def copy_data_messages(spark, sf_dir):
+    """Binary messages of the replication protocol, written and decoded."""
+    n = lambda c: lsn.int64_to_network(c)
+    at = F.col("event_id")
+    data = F.concat(F.encode(F.lit("w"), "utf-8"), n(at * 16), n(at * 16 + 8), n(at * 1000), F.encode("props", "utf-8"))
+    alive = F.concat(F.encode(F.lit("k"), "utf-8"), n(at * 16 + 8), n(at * 1000), F.unhex(F.concat(F.lit("0"), (at % 2).cast("string"))))
+    messages = changelog.events(spark, sf_dir).select("event_id", F.when(F.col("event_type") == "view", alive).otherwise(data).alias("m"))
+    return messages.select("event_id", *(c.alias(k) for k, c in framing.copy_data(F.col("m")).items()))
+
+
 @query("SELECT event_id, epoch_us(ts) - 946684800000000 AS micros, epoch_us(ts) / 1000000 AS seconds FROM events")
 def source_clock(spark, sf_dir):
     return changelog.events(spark, sf_dir).select("event_id", lsn.source_micros(F.col("ts")).alias("micros"), lsn.epoch_seconds(F.col("ts")).alias("seconds"))
