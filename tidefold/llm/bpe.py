@@ -290,9 +290,10 @@ def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "text") ->
 
 def round_trip(df: DataFrame, codec: Codec, key: str, text: str, schema: str, row) -> DataFrame:
     """Encode and decode in one narrow pass, so that ids need not leave the worker: ``row(key, ids, decoded)``
-    gives the values of ``schema``."""
+    gives the values of ``schema``, of bigint and string columns."""
     at = df.sparkSession.sparkContext.broadcast(codec)
     names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [pa.int64() if x.endswith(" bigint") else pa.string() for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = at.value
@@ -301,7 +302,7 @@ def round_trip(df: DataFrame, codec: Codec, key: str, text: str, schema: str, ro
             for k, t in zip(keys, texts_of(block, text), strict=True):
                 ids = codec.encode(t)
                 rows.append(row(k, ids, codec.decode(ids)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return df.select(key, text).mapInArrow(run, schema)
 

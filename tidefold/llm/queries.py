@@ -60,7 +60,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = langid.train(documents.where(fold(4) != 2), order=F.xxhash64("doc_id"))
     found = langid.predict(documents, model)
-    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = brown.score(table(spark, sf_dir, "documents"), fold(10) != 0)
+    found = brown.score(table(spark, sf_dir, "documents"), F.coalesce(fold(10) != 0, F.lit(True)))
     return found.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 

@@ -11,7 +11,7 @@ their order hold the capture histories in global order.  Ids break ties, so one
 is still cut into many ranges.
 
 Defined results: null payloads are empty; null URLs have no target; control characters in URLs are left out; ids are
-unique; timestamps come from ``timestamp`` (a column or an expression), or else count seconds by id from EPOCH.
+unique, or null (a record without one, never a revisit); timestamps come from ``timestamp`` (a column or an expression), or else count seconds by id from EPOCH.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def write(pages: DataFrame, path: str, *, key: str = "page_id", url: str = "url"
     again = materialize(roles(pages, key=key, payload=payload, min_bytes=min_bytes), "revisits")
     page, body = F.col(key).cast("bigint"), F.coalesce(F.col(payload), F.lit(""))
     when = F.expr(f"timestamp_seconds(unix_seconds(timestamp '{EPOCH}') + {key})") if timestamp is None else timestamp
-    rows = pages.select(page.alias("_page"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\x00-\x20\x7f]", "").alias("_url"), body.alias("_body"), F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_when"))
+    rows = pages.select(page.alias("_page"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\x00-\x20\x7f]", "").alias("_url"), body.alias("_body"), F.date_format(F.coalesce(when, F.expr(f"timestamp '{EPOCH}'")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_when"))
     rows = rows.join(again, "_page", "left")  # broadcast by its measured size if small, else by a sort-merge join
     first = F.col("_first")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("_body"), F.lit(END))
@@ -114,6 +114,11 @@ def url_key(url: str) -> str:
 CAPTURE = "url_key string, ts string, page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, file string, offset bigint, length bigint"
 
 
+def place(row: tuple) -> tuple:
+    """The order of captures: URL key, timestamp, id (null first)."""
+    return row[0], row[1], row[2] is not None, row[2] or 0
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, sorted by URL key and timestamp within each file: a run of the index."""
 
@@ -128,8 +133,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     kind, first = head["WARC-Type"], head.get("X-Refers-To-Capture-Id")
                     if kind == "response" and (len(body) != size or base64.b32encode(hashlib.sha1(body).digest()).decode() != digest):
                         raise ValueError(f"damaged payload in {name} at byte {offset}")
-                    rows.append((url_key(head.get("WARC-Target-URI", "")), re.sub(r"\D", "", head["WARC-Date"]), int(head["X-Capture-Id"]), kind, None if first is None else int(first), size, digest, name.rsplit("/", 1)[-1], offset, length))
-                rows.sort(key=lambda r: r[:3])
+                    rows.append((url_key(head.get("WARC-Target-URI", "")), re.sub(r"\D", "", head["WARC-Date"]), int(head["X-Capture-Id"]) if "X-Capture-Id" in head else None, kind, None if first is None else int(first), size, digest, name.rsplit("/", 1)[-1], offset, length))
+                rows.sort(key=place)
                 if rows:
                     long, string = pa.int64(), pa.string()
                     kinds = (string, string, long, string, long, long, string, string, long, long)
@@ -191,9 +196,9 @@ def merged(captures: DataFrame, ranges: int | None = None) -> DataFrame:
                 run = slices.setdefault(row[7], [])
                 run.append(row)
         for run in slices.values():  # a run may arrive in several blocks
-            run.sort(key=lambda r: r[:3])
+            run.sort(key=place)
         rows, kinds = [], captures_schema
-        for row in LoserTree([iter(r) for _, r in sorted(slices.items())], lambda r: r[:3]):
+        for row in LoserTree([iter(r) for _, r in sorted(slices.items())], place):
             rows.append(row)
             if len(rows) == 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
