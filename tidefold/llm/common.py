@@ -53,7 +53,7 @@ def discard(df: DataFrame) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:

@@ -38,6 +38,9 @@ VERIFY_COST = 50
 #: Frequent tokens: those counted FREQUENT times in a task, at most FREQUENT_LIST of a task and of the corpus.
 FREQUENT, FREQUENT_LIST = 4, 2000
 FREQUENT_ALL = 100_000
+#: Bits of the bitmap of candidates (2^24: 2 MB), and shingles kept in a worker while pairs are verified.
+FILTER_BITS = 24
+RECENT = 100_000
 
 
 def shingle_hashes(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -122,29 +125,50 @@ def prefixes(documents: DataFrame, key: str, text: str, width: int, percent: int
     return documents.select(key, text).mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, base bigint, prefix array<bigint>")
 
 
+def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose ``_id`` is in ``ids``.
+
+    A bitmap of FILTER_BITS hashed ids, whatever their number, goes to every executor first, so that most other rows
+    are not shuffled; the join that follows is exact.
+    """
+    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    one = F.expr("shiftleft(1L, cast(xxhash64(_id) & 63 as int))")
+    bitmap = ids.select(F.shiftright(bit("_id"), 6).alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = documents.withColumn("_word", F.shiftright(bit("_id"), 6)).join(F.broadcast(bitmap), "_word")  # 2^(FILTER_BITS - 6) rows at most
+    return met.where(F.col("_bits").bitwiseAND(one) != 0).drop("_word", "_bits").join(ids, "_id", "left_semi")
+
+
 def verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts' sets are similar enough.  Texts of documents in pairs meet by sort-merge joins."""
     pairs = materialize(pairs.select("a", "b"), "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = documents.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text")).join(ids, "_id", "left_semi")
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
+    texts = with_ids(documents.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text")), ids)
     texts = materialize(texts, "candidates")
     met = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("ta")), "a").join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, set] = {}
+        held = 0
 
         def shingles(i: int, t: str) -> set:
+            nonlocal held
             s = recent.get(i)
             if s is None:
-                if len(recent) >= 200:
+                s = shingle_set(t or "", width)
+                if held > RECENT:
                     recent.clear()
-                s = recent[i] = shingle_set(t or "", width)
+                    held = 0
+                recent[i] = s
+                held += len(s)
             return s
 
         for batch in batches:
-            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-            hit = [similar(shingles(i, x), shingles(j, y), percent) for i, j, x, y in zip(a, b, ta, tb, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            for at in range(0, batch.num_rows, 64):  # few texts at a time as Python objects
+                part = batch.slice(at, 64)
+                a, b, ta, tb = (c.to_pylist() for c in part.columns)
+                hit = [similar(shingles(i, x), shingles(j, y), percent) for i, j, x, y in zip(a, b, ta, tb, strict=True)]
+                if any(hit):
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     return materialize(met.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"), "links")
 
