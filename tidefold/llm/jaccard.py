@@ -13,7 +13,8 @@ The steps, none of which gathers a group in one task:
 * Dense groups are contracted first: each representative is compared with the smallest one in the lists of its
   tokens, if they share many of them.  Links found so join components.
 * Then every pair of representatives of different components that shares enough tokens of its prefixes is
-  verified; lists within one component give no pairs.  Two members of one component need no verification of their own.
+  verified.  The prefixes are cut to what the sizes of both sets ask for, so texts that differ in more words than
+  a similar pair can, such as distant copies of one text, do not meet; lists within one component give no pairs.  Two members of one component need no verification of their own.
 * Verification compares the shingles themselves, word for word.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; a text of fewer words than a
@@ -201,9 +202,15 @@ def join(documents: DataFrame, *, key: str = "doc_id", text: str = "text", width
         choice = F.when(costs[l - 1] == best, F.lit(l)).otherwise(choice)
     small = F.col("n") < 10  # as many tokens as MOST must be shared by any similar pair
     lengths = entry.groupBy("rep", "n").agg(*sums).select("rep", F.when(small, F.lit(1)).otherwise(choice).alias("l"))
-    x = entry.join(lengths, "rep").where("pos < base + l - 1").select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), "l")
-    y = entry.select("token", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), (F.col("pos") - F.col("base") + 1).alias("need"))
-    meets = x.join(y, "token").where((F.col("cx") != F.col("cy")) & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))) & (100 * F.col("nx") >= percent * F.col("ny")) & (F.col("need") < F.col("l")))
+    # x is the smaller set.  The sizes say how many tokens must be shared, and so how long both prefixes are.
+    shares = lambda size: F.expr(f"({percent} * ({size}) + {99 + percent}) div {100 + percent}")
+    x = entry.join(lengths, "rep").where(F.col("pos") < F.col("n") - shares("n + n") + F.col("l"))
+    x = x.select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("pos").alias("px"), "l")
+    y = entry.select("token", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("pos").alias("py"))
+    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    both = shares("nx + ny")
+    inside = (F.col("px") < F.col("nx") - both + F.col("l")) & (F.col("py") < F.col("ny") - both + F.col("l"))
+    meets = x.join(y, "token").where((F.col("cx") != F.col("cy")) & smaller & (100 * F.col("nx") >= percent * F.col("ny")) & inside)
     pairs = meets.groupBy("x", "y", "l").agg(F.count("*").alias("times")).where("times >= l")
     far = verified(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), documents, key, text, width, percent)
 
