@@ -474,9 +474,9 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [2000, 1])
+@pytest.mark.parametrize("hot", [None, 1])
 def test_repeated_strings(spark, hot):
-    r = random.Random(hot)
+    r = random.Random(hot or 0)
     passage = ["".join(r.choices("abcdefgh ", k=n)) for n in (90, 60, 41, 40, 39, 200)]
     texts = ["".join(r.choice([r.choice(passage), "".join(r.choices("abcdefghé ", k=r.randint(0, 60)))]) for _ in range(r.randint(0, 6))) for _ in range(60)]
     texts += ["a" * 300, "ab" * 100, "x" * 41, "", None, "same " * 30, "same " * 30]
@@ -508,6 +508,30 @@ def test_radix_sort():
         assert sorted(repeats.radix_repeats(data, start, group, length).tolist()) == want
 
 
+# --- null ids
+
+
+def test_null_ids(spark, tmp_path):
+    rows = [(None, "one two three four " * 30), (1, "one two three four " * 30), (None, None), (2, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit(None).cast("string"))
+    nulls = df.where("doc_id IS NULL")
+    labels = spark.createDataFrame([(None, None), (1, 1)], "doc_id bigint, quality int")
+    none = spark.createDataFrame([(None, None)], "item_id bigint, text string")
+    for d in (df, nulls):
+        n = d.count()
+        assert bpe.round_trip(d, codec(), "doc_id", "text", "doc_id bigint, n bigint, a string, b string", bpe.digests).count() == n
+        assert decontaminate.scan(d, none).count() == quality.judge(d, labels).count() == n
+        assert langid.predict(d, langid.train(d)).count() == pii.pseudonymise(d, "k").count() == n
+        assert brown.score(d, F.lit(True)).count() == n
+        assert jaccard.join(d).count() == repeats.remove(d).count() == n
+        path = str(tmp_path / f"n{n}")
+        records.write(d, records.WordEncoder(tokenizer_path("word_bpe_49k.json")), path)
+        assert records.index(spark, path).count() == n
+        pages = d.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html"))
+        warc.write(pages, path + "w")
+        assert warc.merged(warc.read(spark, path + "w")).count() == n
+
+
 # --- queries
 
 

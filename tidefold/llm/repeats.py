@@ -12,11 +12,13 @@ equal offsets, so:
 * where the whole stretch of an anchor's windows occurs twice, all of them are repeated: such stretches, the bulk of
   copied text, are counted and joined, and one of each stands for all in the sort;
 * the other stretches, at the edges of copied passages, are dealt by their anchors and sorted there;
-* an anchor with more than ``hot`` different stretches is not sorted in one task: its windows are counted by
-  their 128-bit hashes, pre-aggregated, and joined back.
+* an anchor with more than ``hot`` different stretches, which could have more windows than a task sorts at a time
+  (ITEMS), is not sorted in one task: its windows are counted by their 128-bit hashes, pre-aggregated, and joined
+  back.
 
 Defined results: null texts are empty; texts shorter than ``length`` have no windows; overlapping windows of one
-document count; long documents are read in segments of bounded memory; ids are unique and not null.
+document count; long documents are read in segments of bounded memory; repeated rows are copies of one another; rows
+with a null id are returned whole and count nowhere; ids are unique otherwise.
 """
 
 from __future__ import annotations
@@ -167,9 +169,9 @@ def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
 LONG = pa.int64()
 
 
-def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 200, gram: int = 64, hot: int = 2000) -> DataFrame:
+def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 200, gram: int = 64, hot: int | None = None) -> DataFrame:
     """Stretches (doc_id, start, end) of bytes in repeated windows; they may overlap."""
-    source = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    source = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -183,6 +185,7 @@ def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 packed = ((place + shift) << 16) | ((place - lo) << 8) | (hi - lo)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), stretch.view(np.int64), ids[number[part]], packed)], names=["anchor", "stretch", "doc_id", "packed"])
 
+    hot = ITEMS // (length - gram + 1) if hot is None else hot
     if length - gram > 255 or length < 8:
         raise ValueError("length must be 8 at least and less than 256 above gram")
     found = materialize(source.mapInArrow(find, "anchor bigint, stretch bigint, doc_id bigint, packed bigint"), "anchors")
@@ -205,7 +208,7 @@ def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", le
         for block in blocks(batches, "text"):
             rows = []
             for i, t, found in zip(block.column(0).to_pylist(), bytes_of(block, "text"), block.column(2).to_pylist(), strict=True):
-                rows += [(e["anchor"], i, e["place"], e["lo"], e["copies"], e["different"], t[e["lo"] : e["hi"] + length]) for e in found]
+                rows += [(e["anchor"], i, e["place"], e["lo"], e["copies"], e["different"], t[e["lo"] : e["hi"] + length]) for e in found if e["hi"] + length <= len(t)]
             yield _batch(rows, kinds, names)
 
     cuts = source.join(by_document, "doc_id").mapInArrow(cut, "anchor bigint, doc_id bigint, place bigint, lo bigint, copies bigint, different bigint, bytes binary")
