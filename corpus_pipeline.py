@@ -41,8 +41,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, and the text decoded from the ids."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), codec(), out="ids").drop("text")
-    return bpe.decode(encoded, codec(), out="text").select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "text")
+    return bpe.encode_decode(docs, codec())
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pseudonyms", pseudonyms), ("tokens", tokens)]

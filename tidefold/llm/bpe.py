@@ -288,6 +288,26 @@ def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "text") ->
     return df.withColumn(out, texts(F.col(ids)))
 
 
+def encode_decode(df: DataFrame, codec: Codec, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ids, n_tokens, and ``text`` decoded from the ids: both directions in one worker of each task."""
+    at = df.sparkSession.sparkContext.broadcast(codec)
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = at.value
+        for block in blocks(batches, text):
+            flat, offsets, texts = array("i"), [0], []
+            for t in texts_of(block, text):
+                ids = codec.encode(t)
+                flat.extend(ids)
+                offsets.append(len(flat))
+                texts.append(codec.decode(ids).decode("utf-8", "replace"))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            yield pa.RecordBatch.from_arrays([block.column(0), ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(texts, pa.string())], names=[key, "ids", "n_tokens", text])
+
+    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>, n_tokens bigint, `{text}` string")
+
+
 def round_trip(df: DataFrame, codec: Codec, key: str, text: str, schema: str, row) -> DataFrame:
     """Encode and decode in one narrow pass, so that ids need not leave the worker: ``row(key, ids, decoded)``
     gives the values of ``schema``, of bigint and string columns."""
