@@ -43,7 +43,10 @@ NULL_KEY = -(1 << 63)
 MASK = 0xA282EAD8
 #: Input bytes (as Spark's optimizer estimates them) for each file.
 FILE_BYTES = 6 << 20
-MEMO_WORDS = 150_000
+MEMO_WORDS = 300_000
+#: Letters that no other character joins in a token, and the mark of a word's last token in the vocabulary.
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+END_MARK = "</w>"
 
 
 def masked(data: bytes) -> int:
@@ -98,11 +101,31 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pure = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]+)")
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.ends = np.zeros(self.size, bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.ends[i] = token.endswith(END_MARK)
+        self.pure = re.compile(f"({LETTERS}+)([.,!?;:]+)")
+        self.letters = re.compile(f"{LETTERS}+")
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._ready = True
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  Words of letters are encoded many at a time, as the last token of each has a mark."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if self.letters.fullmatch(w)]
+        for a in range(0, len(plain), 2000):
+            part = plain[a : a + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(part):
+                data = ids.astype("<u4").tobytes()
+                out.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+        rest = [w for w in words if w not in out]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[w] = np.array(e.ids, "<u4").tobytes()
+        return [out[w] for w in words]
+
     def _learn(self, words: set[str]) -> None:
         memo, older = self.memo, self.older
         parts, composed = set(), []
@@ -110,13 +133,13 @@ class WordEncoder:
             if w in older:
                 memo[w] = older[w]
             elif m := self.pure.fullmatch(w):  # letters, then punctuation: never one token
-                composed.append((w, *m.groups()))
-                parts.update(p for p in m.groups() if p not in memo and p not in older)
+                a, b = m.groups()
+                composed.append((w, a, b))
+                parts.update(p for p in (a, b) if p not in memo and p not in older)
             else:
                 parts.add(w)
         parts = list(parts)
-        for p, e in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            memo[p] = tuple(e.ids)
+        memo.update(zip(parts, self._encode_words(parts), strict=True))
         for w, a, b in composed:
             memo[w] = (memo.get(a) or older[a]) + (memo.get(b) or older[b])
 
@@ -126,21 +149,14 @@ class WordEncoder:
         split = [None if any(m in t for m in self.marks) else t.replace("\n", " ").split(" ") for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.older, self.memo = self.memo, {}
-        memo = self.memo
-        missing = {w for words in split if words for w in words if w not in memo}
+        missing = set().union(*(words for words in split if words)).difference(self.memo)
         if missing:
             self._learn(missing)
-        tail: tuple[int, ...] = () if end is None else (end,)
-        out = []
+        tail = b"" if end is None else end.to_bytes(4, "little")
+        out, of = [], self.memo.__getitem__
         for t, words in zip(texts, split, strict=True):
-            if words is None:
-                ids = [*self.tokenizer.encode(t, add_special_tokens=False).ids, *tail]
-            else:
-                ids = []
-                for w in words:
-                    ids += memo[w]
-                ids += tail
-            out.append(np.array(ids, np.uint32))
+            data = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(of, words))
+            out.append(np.frombuffer(data + tail, "<u4"))
         return out
 
 
