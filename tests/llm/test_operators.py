@@ -307,6 +307,20 @@ def test_language_model(spark, documents):
     assert brown.score(empty(spark), F.lit(True)).collect() == []
 
 
+def test_rare_words_have_classes(spark):
+    """Words outside the exchange, known to every executor or not, follow the classes that training saw before them."""
+    lines = ["the aa", "of bb"] * 200 + [f"the a{i:02d}" for i in range(40)] + [f"of b{i:02d}" for i in range(40)]
+    texts = [*lines, "the a07", "the b07", "of b07", "of a07", "the zz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for local_words in (4, 1000):
+        out = brown.score(df, F.col("doc_id") < len(lines), cluster_words=4, classes=4, local_words=local_words).collect()
+        found = {texts[r["doc_id"]]: r for r in out if not r["training"]}
+        assert found["the a07"]["base_score"] == pytest.approx(found["the b07"]["base_score"])
+        assert found["the a07"]["score"] > found["the b07"]["score"] + 1
+        assert found["of b07"]["score"] > found["of a07"]["score"] + 1
+        assert np.isfinite(found["the zz"]["score"]) and found["the zz"]["n_known"] == 2
+
+
 def test_model_is_a_distribution():
     """Over all words, the unknown one and the end, the probabilities after any class add up to 1."""
     counts = {b"a": 6, b"b": 4, b"c": 2, b"d": 1}
