@@ -216,6 +216,14 @@ def test_quality_judgement(spark, sf_dir):
     assert quality.judge(empty(spark), labels).collect() == []
 
 
+def test_every_stratum_rejects_junk(spark):
+    path = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    found = quality.judge(docs, labels).join(labels.select("doc_id", "quality"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("NOT base_failed")
+    for r in found.groupBy("lang").agg(F.avg(F.when(F.col("quality") == 0, (~F.col("kept")).cast("int"))).alias("bad"), F.avg(F.when(F.col("quality") == 1, (~F.col("kept")).cast("int"))).alias("good")).collect():
+        assert r["bad"] > 0.5 and r["good"] <= 0.03, r
+
+
 # --- language ID
 
 

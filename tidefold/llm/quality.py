@@ -1,13 +1,14 @@
 """Quality rules with risk-controlled thresholds.
 
 Text statistics are taken in one narrow pass over whole texts.  Each rule is a score that is higher for worse
-texts, with a fixed grid of cutoffs.  Labelled documents are the holdout: within each stratum, the share of good
-documents (quality 1) that a cutoff rejects has an exact (Clopper-Pearson) upper bound.  For each rule the cutoffs
-are tested from the mildest to the strictest until one fails (fixed-sequence testing), so a rule is one hypothesis
-family; Bonferroni's correction over rules and strata keeps the chance of any error below ``delta``, and the allowed
-false rejection ``alpha`` is split over the rules, so that all of them together reject at most ``alpha`` of the good
-documents of every stratum with probability 1 - delta.  Only the grid's histogram (strata x rules x cutoffs) reaches the driver; strata beyond
-``max_strata``, the rarest ones, share one stratum.
+texts; its level says how far above the upper quartile of its stratum it is, in quarters of the distance between the
+quartiles, which are those of the documents without labels.  A document is rejected if any rule's level reaches the
+stratum's cutoff.  Labelled documents are the holdout: within each stratum, the share of good documents (quality 1)
+that a cutoff rejects by all rules together has an exact (Clopper-Pearson) upper bound.  The cutoffs are tested from the
+mildest to the strictest until one fails (fixed-sequence testing), each at the whole ``alpha``, so a stratum is one
+hypothesis family; Bonferroni's correction over strata keeps the chance of any error below ``delta``.  Only quartiles
+and the levels' histogram (strata x levels) reach the driver; strata beyond ``max_strata``, the rarest ones, share one
+stratum.
 
 Defined results: null texts have no words and fail the base rules; documents of a stratum without labels, or with a
 null stratum, are judged by the base rules and the cutoffs of the stratum "" (all that have no own one), which without
@@ -155,15 +156,19 @@ def judge(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     base = features(documents.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit(""))), text=text, keep=(key, "_stratum"))
     base = materialize(base, "quality")  # small: no texts
     rules = rule_scores()
-    bins = {r: F.coalesce(F.least(F.lit(GRID), F.greatest(F.lit(0), F.floor(GRID * x))), F.lit(0)).cast("int") for r, x in rules.items()}
     labelled = base.join(labels.select(F.col(key), F.col(quality).alias("_quality")), key).where((F.col("_quality") == 1) & ~base_failed())
     large = [r[0] for r in labelled.groupBy("_stratum").count().orderBy(F.desc("count"), "_stratum").limit(max_strata).collect()]
     own = F.when(F.col("_stratum").isin(large), F.col("_stratum")).otherwise("") if large else F.lit("")
-    cells = labelled.select(own.alias("s"), F.explode(F.array(*(F.struct(F.lit(r).alias("r"), b.alias("b")) for r, b in bins.items()))).alias("x")).groupBy("s", "x.r", "x.b").count()
-    found = cutoffs([tuple(x) for x in cells.collect()], list(rules), alpha, delta)
-    found.setdefault("", dict.fromkeys(rules, GRID + 1))
-    table = spark.createDataFrame([(s, *(c[r] for r in rules)) for s, c in found.items()], ", ".join(["s string", *(f"_{r} int" for r in rules)]))
-    chosen = F.when(F.col("_stratum").isin(list(found)), F.col("_stratum")).otherwise("")
-    failed = F.array_compact(F.array(*(F.when(b >= F.col(f"_{r}"), F.lit(r)) for r, b in bins.items())))
-    judged = base.withColumn("s", chosen).join(F.broadcast(table), "s")  # at most max_strata + 1 rows
+    # the order of the tests comes from documents without labels, so that it does not depend on the holdout
+    others = base.where(~base_failed()).join(labels.select(key), key, "left_anti")
+    quartiles = others.groupBy(own.alias("s")).agg(*(F.percentile_approx(x, [0.25, 0.75], 1000).alias(f"_{r}") for r, x in rules.items())).collect()
+    shapes = {r["s"]: [(q[1], max(q[1] - q[0], 1 / GRID)) if (q := r[f"_{n}"]) else (0.0, 4 / GRID) for n in rules] for r in quartiles}
+    shape = spark.createDataFrame([(s, *(list(map(float, x)) for x in shapes.get(s, [(0.0, 4 / GRID)] * len(rules)))) for s in {*large, ""}], ", ".join(["s string", *(f"_{r} array<double>" for r in rules)]))
+    levels = {r: F.coalesce(F.least(F.lit(GRID), F.greatest(F.lit(0), F.floor(4 * (x - F.col(f"_{r}")[0]) / F.col(f"_{r}")[1]))), F.lit(0)).cast("int") for r, x in rules.items()}
+    with_shape = lambda d: d.withColumn("s", own).join(F.broadcast(shape), "s")  # noqa: E731  at most max_strata + 1 rows
+    cells = with_shape(labelled).select("s", F.greatest(*levels.values()).alias("b")).groupBy("s", "b").count()
+    found = cutoffs([(r["s"], "all", r["b"], r["count"]) for r in cells.collect()], ["all"], alpha, delta)
+    table = spark.createDataFrame([(s, found[s]["all"] if s in found else GRID + 1) for s in {*large, ""}], "s string, _cut int")
+    failed = F.array_compact(F.array(*(F.when(x >= F.col("_cut"), F.lit(r)) for r, x in levels.items())))
+    judged = with_shape(base).join(F.broadcast(table), "s")
     return judged.select(key, *COUNTS, base_failed().alias("base_failed"), failed.alias("failed_rules")).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
