@@ -9,16 +9,21 @@ The steps, none of which gathers a group in one task:
 
 * Tokens that are frequent anywhere in the corpus (found by counts of each task, a bounded list) go to the end of
   the order, so that shared passages do not fill the prefixes.  Any such list gives a valid order.
-* Documents with equal sets are one class; only its smallest id, the representative, goes on.
+* Documents with equal sets are one class; only its smallest id, the representative, goes on.  Sets are equal if the
+  sum and the exclusive or of their scrambled 64-bit hashes and their sizes are.
 * Dense groups are contracted first: each representative is compared with the smallest one in the lists of its
-  tokens, if they share many of them.  Links found so join components.
-* Then every pair of representatives of different components that shares enough tokens of its prefixes is
-  verified.  The prefixes are cut to what the sizes of both sets ask for, so texts that differ in more words than
-  a similar pair can, such as distant copies of one text, do not meet; lists within one component give no pairs.  Two members of one component need no verification of their own.
-* Verification compares the shingles themselves, word for word.
+  tokens, if they share many of them, and takes the smallest one that it is similar to as its label.
+* Then every pair of representatives with different labels that shares enough tokens of its prefixes is verified.
+  The prefixes are cut to what the sizes of both sets ask for, so texts that differ in more words than a similar pair
+  can, such as distant copies of one text, do not meet; lists with one label give no pairs, as members of one
+  component need no verification of their own.  Long lists are dealt over several tasks.
+* Verification compares the shingles themselves, word for word.  Links join components.
 
 Defined results: null and empty texts have empty sets and are linked with nothing; a text of fewer words than a
-shingle has its whole sequence as one; repeated rows are in one component; ids are unique whole numbers otherwise.
+shingle has its whole sequence as one; repeated rows are in one component; ids are whole numbers below 2^62; documents
+with a null id are compared like others, and a component of such documents alone has a null id; rows of one id with
+different texts are linked each for itself, and what is linked with one of them may be linked with all; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE_WORDS, blocks, bytes_of, materialize, mix64, prefix_sums, span_hash, window_hash, word_spans
+from .common import LOWER, SPACE_WORDS, blocks, bytes_of, discard, materialize, mix64, prefix_sums, span_hash, window_hash, word_spans
 from .graph import components
 
 #: The longest extension of a prefix, and the cost of a verification in list entries.
@@ -99,13 +104,13 @@ def frequent_tokens(documents: DataFrame, text: str, width: int) -> np.ndarray:
 
 
 def prefixes(documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """doc_id, n, the set's signature s1 and s2, base (tokens of the 1-prefix) and prefix (tokens in global order)."""
+    """_id, n, the set's signature s1 and s2, base (tokens of the 1-prefix) and prefix (tokens in global order)."""
     shared = documents.sparkSession.sparkContext.broadcast(frequent_tokens(documents, text, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
-        for block in blocks(batches, text):
-            sets = shingle_hashes(bytes_of(block, text), width)
+        for block in blocks(batches, "_text"):
+            sets = shingle_hashes(bytes_of(block, "_text"), width)
             every = np.concatenate(sets)
             at = np.minimum(np.searchsorted(common, every), max(0, len(common) - 1))
             late = common[at] == every if len(common) else np.zeros(len(every), bool)
@@ -121,13 +126,24 @@ def prefixes(documents: DataFrame, key: str, text: str, width: int, percent: int
                 rows.append((n, s1, s2, base, ordered.view(np.int64)))
             n, s1, s2, base, prefix = zip(*rows, strict=True)
             long = pa.int64()
-            yield pa.RecordBatch.from_arrays([block.column(0).cast(long), pa.array(n, long), pa.array(s1, long), pa.array(s2, long), pa.array(base, long), pa.array(prefix, pa.list_(long))], names=["doc_id", "n", "s1", "s2", "base", "prefix"])
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(n, long), pa.array(s1, long), pa.array(s2, long), pa.array(base, long), pa.array(prefix, pa.list_(long))], names=["_id", "n", "s1", "s2", "base", "prefix"])
+
+    return documents.select(vertex(key, text).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, "_id bigint, n bigint, s1 bigint, s2 bigint, base bigint, prefix array<bigint>")
+
 
-    return documents.select(key, text).mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, base bigint, prefix array<bigint>")
+#: Null ids count as numbers from here on, made of the text; ids are less.
+NULL_IDS = 1 << 62
+#: Rows of a token's list that one task takes on the smaller sets' side.
+SPLIT = 1000
+
+
+def vertex(key: str, text: str) -> Column:
+    """The number by which a document is known here: its id, or a number made of its text if it has none."""
+    return F.coalesce(F.col(key).cast("bigint"), F.xxhash64(text).bitwiseAND(F.lit(NULL_IDS - 1)) + F.lit(NULL_IDS))
 
 
 def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose ``_id`` is in ``ids``.
+    """The rows of ``documents`` whose ``_id`` is in ``ids``, which may hold an id more than once.
 
     A bitmap of FILTER_BITS hashed ids, whatever their number, goes to every executor first, so that most other rows
     are not shuffled; the join that follows is exact.
@@ -142,79 +158,110 @@ def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts' sets are similar enough.  Texts of documents in pairs meet by sort-merge joins."""
     pairs = materialize(pairs.select("a", "b"), "pairs")
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
-    texts = with_ids(documents.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text")), ids)
+    texts = with_ids(documents.select(vertex(key, text).alias("_id"), F.col(text).alias("_text")), pairs.select(F.explode(F.array("a", "b")).alias("_id")))
     texts = materialize(texts, "candidates")
     met = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("ta")), "a").join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: dict[int, set] = {}
+        recent: dict[str, set] = {}
         held = 0
 
-        def shingles(i: int, t: str) -> set:
+        def shingles(t: str) -> set:
             nonlocal held
-            s = recent.get(i)
+            s = recent.get(t)
             if s is None:
                 s = shingle_set(t or "", width)
                 if held > RECENT:
                     recent.clear()
                     held = 0
-                recent[i] = s
+                recent[t] = s
                 held += len(s)
             return s
 
         for batch in batches:
             for at in range(0, batch.num_rows, 64):  # few texts at a time as Python objects
                 part = batch.slice(at, 64)
-                a, b, ta, tb = (c.to_pylist() for c in part.columns)
-                hit = [similar(shingles(i, x), shingles(j, y), percent) for i, j, x, y in zip(a, b, ta, tb, strict=True)]
+                ta, tb = (c.to_pylist() for c in part.columns[2:])
+                hit = [similar(shingles(x), shingles(y), percent) for x, y in zip(ta, tb, strict=True)]
                 if any(hit):
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    return materialize(met.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"), "links")
+    links = materialize(met.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"), "links")
+    discard(pairs)
+    discard(texts)
+    return links
 
 
-def join(documents: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id (smallest id with an equal set) and component_id."""
-    spark = documents.sparkSession
+def grouped(documents: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
+    """One row per document, with its number of vertex(): _id, n, rep (the smallest number with an equal set) and
+    component."""
     found = materialize(prefixes(documents, key, text, width, percent), "prefixes")
-    classes = found.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    classes = materialize(classes, "classes")
-    reps = found.where("n > 0").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    tokens = reps.select(F.col("doc_id").alias("rep"), "n", "base", F.posexplode("prefix").alias("pos", "token"))
+    some = found.where("n > 0")
+    classes = materialize(some.groupBy("s1", "s2", "n").agg(F.min("_id").alias("rep")), "classes")
+    reps = some.join(classes.select(F.col("rep").alias("_id")), "_id", "left_semi").dropDuplicates(["_id", "s1", "s2"])
+    tokens = reps.select(F.col("_id").alias("rep"), "n", "base", F.posexplode("prefix").alias("pos", "token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("hub")).where("df > 1")
     shared = materialize(tokens.join(lists, "token"), "lists")
 
     # dense groups first: each with the smallest document of its lists
     hubs = shared.where("rep <> hub").groupBy("rep", "hub", "base").agg(F.count("*").alias("times")).where(f"2 * times >= base + {MOST - 1}")
     near = verified(hubs.select(F.col("hub").alias("a"), F.col("rep").alias("b")), documents, key, text, width, percent)
-    first = components(near)
-    entry = shared.drop("df", "hub").join(first.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = entry.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("df")).where("low <> high")
-    entry = materialize(entry.join(mixed.select("token", "df"), "token"), "lists")
-
-    # then all pairs of different components, each document with the prefix that costs least
-    sums = [F.sum(F.when(F.col("pos") < F.col("base") + l - 1, F.col("df") - 1).otherwise(0)).alias(f"s{l}") for l in range(1, MOST + 1)]
+    up = near.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("label"))
+    over = up.select(F.col("rep").alias("label"), F.col("label").alias("above"))
+    labels = materialize(up.join(over, "label", "left").select("rep", F.coalesce("above", "label").alias("label")), "labels")
+    entry = shared.drop("df", "hub").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    mixed = entry.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("df")).where("low <> high")
+
+    # then all pairs of different labels, each document with the prefix that costs least
+    own = Window.partitionBy("rep")  # as many rows as its prefix is long
+    sums = [F.sum(F.when(F.col("pos") < F.col("base") + l - 1, F.col("df") - 1).otherwise(0)).over(own) for l in range(1, MOST + 1)]
+    entry = entry.join(mixed.select("token", "df"), "token").withColumns({f"s{l}": x for l, x in enumerate(sums, 1)})
     costs = [F.col(f"s{l}") * (1 + VERIFY_COST / l) for l in range(1, MOST + 1)]
     best = F.least(*costs)
     choice = F.lit(1)
     for l in range(MOST, 0, -1):
         choice = F.when(costs[l - 1] == best, F.lit(l)).otherwise(choice)
     small = F.col("n") < 10  # as many tokens as MOST must be shared by any similar pair
-    lengths = entry.groupBy("rep", "n").agg(*sums).select("rep", F.when(small, F.lit(1)).otherwise(choice).alias("l"))
-    # x is the smaller set.  The sizes say how many tokens must be shared, and so how long both prefixes are.
+    entry = entry.select("rep", "n", "label", "pos", "token", "df", F.when(small, F.lit(1)).otherwise(choice).alias("l"))
+    entry = materialize(entry, "lists")
+    discard(shared)
+    # x is the smaller set.  The sizes say how many tokens must be shared, and so how long both prefixes are.  A long
+    # list is dealt over several tasks on the side of x.
+    parts = F.ceil(F.col("df") / SPLIT).cast("int")
     shares = lambda size: F.expr(f"({percent} * ({size}) + {99 + percent}) div {100 + percent}")
-    x = entry.join(lengths, "rep").where(F.col("pos") < F.col("n") - shares("n + n") + F.col("l"))
-    x = x.select("token", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("pos").alias("px"), "l")
-    y = entry.select("token", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("pos").alias("py"))
+    x = entry.where(F.col("pos") < F.col("n") - shares("n + n") + F.col("l"))
+    x = x.select("token", F.pmod(F.hash("rep"), parts).alias("part"), F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("label").alias("cx"), F.col("pos").alias("px"), "l")
+    y = entry.select("token", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("label").alias("cy"), F.col("pos").alias("py"))
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
     both = shares("nx + ny")
     inside = (F.col("px") < F.col("nx") - both + F.col("l")) & (F.col("py") < F.col("ny") - both + F.col("l"))
-    meets = x.join(y, "token").where((F.col("cx") != F.col("cy")) & smaller & (100 * F.col("nx") >= percent * F.col("ny")) & inside)
+    meets = x.join(y, ["token", "part"]).where((F.col("cx") != F.col("cy")) & smaller & (100 * F.col("nx") >= percent * F.col("ny")) & inside)
     pairs = meets.groupBy("x", "y", "l").agg(F.count("*").alias("times")).where("times >= l")
     far = verified(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), documents, key, text, width, percent)
+    discard(entry)
 
     linked = components(near.unionAll(far)).select(F.col("vertex").alias("rep"), "component")
     classes = classes.join(linked, "rep", "left").select("s1", "s2", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    out = found.select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
+    out = found.select("_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
+    return out.select("_id", "n", F.coalesce("rep", "_id").alias("rep"), F.coalesce("component", "_id").alias("component"))
+
+
+def join(documents: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, class_id (smallest id with an equal set) and component_id; options as
+    of grouped()."""
+    known = lambda c: F.when(F.col(c) < NULL_IDS, F.col(c))
+    found = grouped(documents, **options)
+    return found.select(known("_id").alias("doc_id"), F.col("n").alias("n_shingles"), known("rep").alias("class_id"), known("component").alias("component_id"))
+
+
+def representatives(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents, in their own columns, without those linked with one of smaller id: one row of each component."""
+    names = [F.col(f"`{c}`") for c in documents.columns]
+    found = grouped(documents, key=key, text=text, **options).where("_id = component")
+    kept = materialize(found.groupBy(F.col("_id").alias("_tf_id")).agg(F.count("*").alias("_tf_n")), "kept")
+    numbered = documents.withColumn("_tf_id", vertex(key, text))
+    out = numbered.join(kept.where("_tf_n = 1"), "_tf_id", "left_semi").select(names)
+    several = kept.where("_tf_n > 1")  # ids of repeated rows
+    if several.isEmpty():
+        return out
+    return out.unionAll(numbered.join(several, "_tf_id", "left_semi").dropDuplicates(["_tf_id"]).select(names))
