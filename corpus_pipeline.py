@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written to the cluster's shared folder and
 read back as the next one's docs.  All stages but the last return the columns of ``docs``.
+
+Defined results: null texts and texts without a letter are in no language and go at the first stage; of repeated rows,
+and of equal or similar texts, one row stays, that of the smallest id (a null id only if no other has one; of equal ids
+any); extra columns, whatever their names, pass through the first four stages as they are; empty tables give empty
+tables; texts of any length are used whole.
 """
 
 from __future__ import annotations
@@ -25,8 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 on five-word shingles, the document with the smallest id."""
-    kept = jaccard.join(docs, width=5, percent=80).where("component_id = doc_id").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+    return jaccard.representatives(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
