@@ -1,18 +1,23 @@
 """BPE encoding and decoding by a tokenization automaton.
 
-The ranked merges are compiled by successive merge gadgets into an automaton over tokens.  It starts with one
-state and a loop for every byte.  The gadget of a merge (u, v) -> w looks at the state that u leads to: if v
+The ranked merges are compiled by successive merge gadgets into a deterministic automaton over tokens.  It starts with
+one state and a loop for every byte.  The gadget of a merge (u, v) -> w looks at the state that u leads to: if v
 leaves it, u is led to a copy of that state without the arc v, and an arc w is put beside every arc u, leading
 where v led.  After all gadgets the automaton accepts exactly the correct tokenizations, one for every string,
-and the state after a token depends on the token alone.  Copies of states are not spelled out: each gadget
-records which arc it cut, and when, and a transition is decided from those records once and then kept in a table.
+and the state after a token depends on the token alone.
 
-A pre-split word is encoded left to right: for every prefix exactly one arc enters the state reached, so that a
-table of (last token, arc) transitions gives the path in time linear in the word.  Decoding emits the labels of
-the arcs of the path.
+The compiled table has a row for the state after each token: the arcs that it lacks.  Tokens are numbered so that a
+token is followed by those built on its front, the latest first; an arc that a gadget removes, with all later arcs put
+beside it, is then one interval of numbers, and a copied state is a copied row.  Rows are sorted, disjoint intervals
+in integer arrays, and a transition is one binary search in a row.
+
+A pre-split word is encoded by the table alone.  Every prefix has one tokenization, so exactly one arc enters each
+position of the word: of the arcs whose labels end there, the one that the state at its beginning has.  Each position is
+decided at most once, and the arcs that lead to the word's end are its tokens.  Decoding emits the labels of the arcs.
 
 Defined results: null text counts as empty; empty text has no tokens; texts of any length are encoded whole; the
-strings of added special tokens become their ids, as the tokenizers library does by default.
+strings of added special tokens become their ids, as the tokenizers library does by default; rows are independent of
+one another, so repeated rows and null keys give equal rows, and an empty table gives none.
 """
 
 from __future__ import annotations
@@ -20,8 +25,9 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +48,6 @@ SPACES = "\\t-\\r \\x85\\xa0"
 CHUNK = f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 #: Words, and chunks, kept with their ids in each Python worker, and as many of those used before them.
 MEMO_WORDS = 100_000
-#: Transitions kept in the table of each Python worker; it is filled anew when full.
-PAIRS = 500_000
 #: Texts handled at a time as Python objects.
 ROWS = 128
 
@@ -56,99 +60,129 @@ def byte_characters() -> dict[str, int]:
 
 
 class MergeAutomaton:
-    """The automaton of ranked merges over byte strings; ``arcs`` maps an arc's label to its token id."""
+    """The compiled automaton of ranked merges over byte strings; ``arcs`` maps an arc's label to its token id."""
 
     def __init__(self, arcs: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
-        self.labels: dict[int, bytes] = {i: label for label, i in arcs.items()}
-        self.born: dict[int, int] = {}
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.cut: dict[tuple[int, int], int] = {}
-        self.live: dict[bytes, int] = {label: i for label, i in arcs.items() if len(label) == 1}
-        self.table: dict[int, bool] = {}
-        for time, (u, v) in enumerate(merges):
-            self._gadget(time, arcs[u], arcs[v], u + v, arcs[u + v])
-        self.longest = max(map(len, self.live), default=0)
-        # by each prefix of a live label: the longest live label that begins it, as its arc and length
-        self.inner: dict[bytes, tuple[int, int]] = {}
-        for label in self.live:
-            for n in range(1, len(label) + 1):
-                self.inner[label[:n]] = (0, 0)
-        for part in sorted(self.inner, key=len):
-            self.inner[part] = (self.live[part], len(part)) if part in self.live else self.inner[part[:-1]]
-
-    def _gadget(self, time: int, u: int, v: int, label: bytes, w: int) -> None:
-        if w in self.born or len(label) == 1:
-            raise ValueError(f"two merges give {label!r}")
-        if any(len(self.labels[x]) > 1 and x not in self.born for x in (u, v)):
-            raise ValueError(f"the parts of {label!r} are merged after it")
-        if self.labels[u] in self.live and self.labels[v] in self.live and self._open(u, v):
-            self.live[label] = w  # otherwise no path ever takes this arc
-        self.cut[u, v] = time
-        self.born[w], self.left[w], self.right[w] = time, u, v
-
-    def _open(self, u: int, arc: int) -> bool:
-        """Whether ``arc`` leaves the state that u leads to, from the gadgets' records so far."""
-        before = None  # gadgets that this copy of the state has seen
-        while u is not None:
-            by, t = None, arc
-            while t is not None:
-                time = self.cut.get((u, t))
-                if time is not None and (before is None or time < before) and (by is None or time <= by):
-                    return False
-                by, t = self.born.get(t), self.left.get(t)
-            before, u = self.born.get(u), self.right.get(u)
-        return True
+        size = 1 + max(arcs.values(), default=-1)
+        labels = {i: label for label, i in arcs.items()}
+        front, built = array("i", [-1]) * size, bytearray(size)
+        beside: dict[int, list[int]] = {}
+        gadgets = []
+        for left, right in merges:
+            u, v, w = arcs[left], arcs[right], arcs[left + right]
+            if front[w] >= 0 or len(labels[w]) == 1:
+                raise ValueError(f"two merges give {labels[w]!r}")
+            if any(len(labels[x]) > 1 and front[x] < 0 for x in (u, v)):
+                raise ValueError(f"the parts of {labels[w]!r} are merged after it")
+            front[w] = u
+            beside.setdefault(u, []).append(w)
+            gadgets.append((u, v, w))
+        # a token's number, and of how many tokens it is the front, itself included
+        number, weight = array("i", [-1]) * size, array("i", [1]) * size
+        stack, order = [i for i in labels if len(labels[i]) == 1], []
+        while stack:
+            order.append(t := stack.pop())
+            stack.extend(beside.get(t, ()))
+        for at, t in enumerate(order):
+            number[t] = at
+        for t in reversed(order):
+            if front[t] >= 0:
+                weight[front[t]] += weight[t]
+        # the gadgets: rows of intervals of numbers, shared until a gadget extends one
+        rows: list[tuple] = [()] * size
+        so_far = array("i", [0]) * size
+        for t in labels:
+            built[t] = len(labels[t]) == 1
+        for u, v, w in gadgets:
+            at = number[v]
+            if built[u] and built[v] and not any(a <= at < b for a, b in rows[u]):
+                built[w] = 1  # otherwise no path ever takes this arc
+            rows[w] = rows[v]
+            rows[u] += ((at, at + weight[v] - so_far[v]),)
+            so_far[u] += weight[w]
+        # by number: the row of the state after a token, the token's id and its label's length
+        self.row, self.begin, self.end = array("i", [0]), array("i"), array("i")
+        for intervals in [*(rows[t] for t in order), ()]:  # the last state is the first one of a word, with every arc
+            last = -1
+            for a, b in sorted(intervals):
+                if a > last:
+                    self.begin.append(a)
+                    self.end.append(b)
+                elif b > last:
+                    self.end[-1] = b
+                last = max(last, b)
+            self.row.append(len(self.begin))
+        self.token, self.size = array("i", order), array("i", (len(labels[t]) for t in order))
+        self.taken = bytes(built[t] for t in order)
+        self.text = b"".join(labels[t] for t in order)
+        self._root: dict | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_root": None}
+
+    def labels(self) -> dict[int, bytes]:
+        ends = list(accumulate(self.size))
+        return {t: self.text[end - size : end] for t, size, end in zip(self.token, self.size, ends, strict=True)}
+
+    def _spell(self) -> None:
+        """The tree of the arcs' labels, read backwards: by byte the next node, by -1 the number of the arc."""
+        self._root = {}
+        labels = self.labels()
+        for number, t in enumerate(self.token):
+            if self.taken[number]:
+                node = self._root
+                for byte in reversed(labels[t]):
+                    node = node.setdefault(byte, {})
+                node[-1] = number
 
     def path(self, word: bytes) -> tuple[int, ...]:
-        """The arcs of the only accepted path that spells ``word``.
+        """The arcs of the only accepted path that spells ``word``, in time linear in the word.
 
-        Longest arcs are tried first.  A prefix has one path at most, so a position from which no arc leads on is
-        never entered twice, and the time is linear in the word.
+        One arc enters each position: of the arcs that end there, the one that leaves the state where it begins.
+        Positions are decided from the word's end on demand, each once.
         """
-        if (whole := self.live.get(word)) is not None:
-            return (whole,)
-        inner, table = self.inner, self.table
-        size = len(word)
-        arcs: list[int] = []
-        starts: list[int] = []
-        dead = set()
-        at, last = 0, -1
+        if self._root is None:
+            self._spell()
+        root, row, begin, end = self._root, self.row, self.begin, self.end
+        entered = {0: len(self.token)}
+        at = len(word)
+        waiting: list[tuple[int, list]] = []
         while True:
-            # the longest arc from here: by halving, as every prefix of an arc's label is in the table
-            low, high = at + 1, min(size, at + self.longest)
-            if high > at + 9 and word[at : at + 10] not in inner:
-                high = at + 9
-            while low < high:
-                middle = (low + high + 1) >> 1
-                if word[at:middle] in inner:
-                    low = middle
-                else:
-                    high = middle - 1
-            arc, end = inner[word[at:low]]
-            while True:
-                end += at
-                if end not in dead:
-                    if at == 0:
+            arcs: list[tuple[int, int]] = []  # that end here, the longest last
+            since, node = at, root
+            while since:
+                since -= 1
+                if (node := node.get(word[since])) is None:
+                    break
+                if (arc := node.get(-1)) is not None:
+                    arcs.append((since, arc))
+            while arcs:
+                since, arc = arcs[-1]
+                if (state := entered.get(since)) is None:
+                    break  # where this arc begins is decided first
+                low, high = row[state], row[state + 1]
+                if low == high or (k := bisect_right(begin, arc, low, high)) == low or end[k - 1] <= arc:
+                    entered[at] = arc
+                    if not waiting:
                         break
-                    known = table.get(key := last << 32 | arc)
-                    if known is None:
-                        if len(table) > PAIRS:
-                            table.clear()
-                        known = table[key] = self._open(last, arc)
-                    if known:
-                        break
-                while end == at + 1:  # no arc leads on
-                    dead.add(at)
+                    at, arcs = waiting.pop()
+                else:
                     arcs.pop()
-                    end, at = at, starts.pop()
-                    last = arcs[-1] if arcs else -1
-                arc, end = inner[word[at : end - 1]]
-            arcs.append(arc)
-            if end == size:
-                return tuple(arcs)
-            starts.append(at)
-            at, last = end, arc
+            else:
+                if word:
+                    raise ValueError(f"no token ends with byte {word[at - 1]}")
+                return ()
+            if state is None:
+                waiting.append((at, arcs))
+                at = since
+            else:
+                break
+        out, token, size = [], self.token, self.size
+        while at:
+            out.append(token[arc := entered[at]])
+            at -= size[arc]
+        out.reverse()
+        return tuple(out)
 
 
 class Codec:
@@ -167,7 +201,6 @@ class Codec:
         merges = [tuple(map(as_bytes, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
         self.automaton = MergeAutomaton(arcs, merges)
         self.added = added
-        self.labels = self.automaton.labels | {i: s.encode() for s, i in added.items()}
         self._memo: _Memo | None = None
 
     @classmethod
@@ -176,12 +209,13 @@ class Codec:
             return cls(json.load(f))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memo": None}
+        return {"automaton": self.automaton, "added": self.added, "_memo": None}
 
     @property
     def memo(self) -> _Memo:
         if self._memo is None:
             self._memo = _Memo(self.automaton)
+            self.labels = self.automaton.labels() | {i: s.encode() for s, i in self.added.items()}
             self._chunks = re.compile(CHUNK)
             self._odd = re.compile(f"[^\\x00-{chr(AGREED)}\\u2010-\\u2027\\u20ac\\u4e00-\\u9fa5]")
             self._special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -210,6 +244,7 @@ class Codec:
 
     def decode(self, ids: list[int]) -> bytes:
         """The labels of the path's arcs, one after the other; ids without an arc are passed over."""
+        self.memo  # noqa: B018  spells the labels
         try:
             return b"".join(map(self.labels.__getitem__, ids))
         except KeyError:
@@ -327,8 +362,13 @@ def round_trip(df: DataFrame, codec: Codec, key: str, text: str, schema: str, ro
     return df.select(key, text).mapInArrow(run, schema)
 
 
+_decimals: list[bytes] = []
+
+
 def digests(key: Column, ids: list[int], decoded: bytes) -> tuple:
     """doc_id, n_tokens, and the hex SHA-256 of the comma-joined ids and of the decoded text."""
     import hashlib
 
-    return key, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    if ids and (most := max(ids)) >= len(_decimals):
+        _decimals.extend(b"%d" % i for i in range(len(_decimals), 2 * most + 1))
+    return key, len(ids), hashlib.sha256(b",".join(map(_decimals.__getitem__, ids))).hexdigest(), hashlib.sha256(decoded).hexdigest()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,9 +19,14 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that ``spark.checkpoint.dir`` names; a temporary one where it is unset (tests)."""
+    """A fresh path in the folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a temporary one if all executors are in this process; an error on a cluster.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_root:
             _own_root.append("file://" + tempfile.mkdtemp(prefix="tidefold-"))
         root = _own_root[0]
@@ -41,6 +47,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(CLEANUP, before)
     gc.collect()
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() - heap.freeMemory() > heap.maxMemory() // 3:
+        spark._jvm.System.gc()  # Spark's cleaner releases broadcasts and shuffle files of what the driver has dropped
     out = spark.read.schema(df.schema).parquet(path)
     out._tidefold_path = path
     return out
