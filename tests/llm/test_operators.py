@@ -101,7 +101,7 @@ def brute_hits(text, items, width=10):
         for k in range(len(words) - n + 1) if n else ():
             if tuple(words[k : k + n]) in windows:
                 hit.update(range(k, k + n))
-                found.add(str(i))
+                found |= {str(i)} if i is not None else set()
     return len(words), len(hit), sorted(found)
 
 
@@ -111,21 +111,23 @@ def test_decontamination(spark):
     items = [(i, " ".join(r.choices(vocabulary, k=r.choice([1, 4, 9, 12])))) for i in range(25)] + [(25, ""), (26, None), (None, "alpha Beta"), (27, "gamma x1 é alpha"), (28, "gamma x1 é alpha")]
     texts = [(i, ", ".join(r.choices([*vocabulary, "other"], k=r.randint(0, 60)))) for i in range(80)] + [(100 + i, t) for i, t in enumerate(ODD)] + [(1, "alpha")]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("n_words", F.lit("mine"))
-    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    expected = sorted((i, *brute_hits(t, [x for x in items if x[0] is not None])) for i, t in texts)
-    for portion in (1 << 20, 60):
-        one = docs.dropDuplicates(["doc_id", "text"]) if portion == 60 else docs
-        if portion == 60:  # several portions meet by id
-            one = one.where("NOT (doc_id = 1 AND text = 'alpha')")
-        found = decontaminate.scan(one, benchmark, portion_bytes=portion).select("doc_id", "n_words", decontaminate.n_hit(), "item_ids").collect()
-        wanted = expected if portion > 60 else [e for e in expected if e != (1, *brute_hits("alpha", [x for x in items if x[0] is not None]))]
-        assert sorted(map(tuple, found)) == wanted
-    kept = {r["doc_id"] for r in decontaminate.clean(docs, benchmark).collect()}
-    assert kept == {i for i, t in texts if not brute_hits(t, [x for x in items if x[0] is not None])[1]} | ({1} & kept)
+    benchmark, all_items = spark.createDataFrame(items, "item_id bigint, text string"), items
+    texts += [(None, "z z alpha beta"), (None, "no"), (None, "no")]
+    docs = docs.unionByName(spark.createDataFrame(texts[-3:], "doc_id bigint, text string").withColumn("n_words", F.lit("mine"))).withColumn("a.b", F.lit(1))
+    expected = sorted(((i, *brute_hits(t, items)) for i, t in texts), key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
+    for portion in (1_000_000, 30, 1):  # with a few words at a time, items are cut and rows pass many times
+        if portion == 1:
+            benchmark, items = benchmark.limit(4), items[:4]
+            expected = sorted(((i, *brute_hits(t, items)) for i, t in texts), key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
+        found = decontaminate.scan(docs, benchmark, portion_windows=portion).select("doc_id", "n_words", decontaminate.n_hit(), "item_ids").collect()
+        assert sorted(map(tuple, found), key=lambda x: (x[0] is None, x[0] or 0, x[1:])) == expected
+    kept = sorted((r["doc_id"] for r in decontaminate.clean(docs, benchmark).collect()), key=lambda x: (x is None, x))
+    assert kept == sorted((i for i, t in texts if not brute_hits(t, items)[1]), key=lambda x: (x is None, x))
+    benchmark, items = spark.createDataFrame(all_items, "item_id bigint, text string"), all_items
     cut = decontaminate.clean(docs, benchmark, action="remove_spans").collect()
-    assert len(cut) == len(texts) and cut[0].asDict().keys() == {"doc_id", "text", "n_words"} and cut[0]["n_words"] == "mine"
+    assert len(cut) == len(texts) and cut[0].asDict().keys() == {"doc_id", "text", "n_words", "a.b"} and cut[0]["n_words"] == "mine"
     by_id = dict(texts)
-    assert all(r["text"] == by_id[r["doc_id"]] for r in cut if r["doc_id"] != 1 and not brute_hits(by_id[r["doc_id"]], [x for x in items if x[0] is not None])[1])
+    assert all(r["text"] == by_id[r["doc_id"]] for r in cut if r["doc_id"] not in (1, None) and not brute_hits(by_id[r["doc_id"]], items)[1])
     one_cut = decontaminate.clean(spark.createDataFrame([(1, "é x, alpha BETA end")], "doc_id bigint, text string"), spark.createDataFrame([(1, "Alpha beta")], "item_id bigint, text string"), action="remove_spans")
     assert one_cut.first()["text"] == "é x,  end"
     assert decontaminate.scan(docs, benchmark.limit(0)).where(decontaminate.n_hit() > 0).count() == 0

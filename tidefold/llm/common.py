@@ -6,12 +6,13 @@ import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_root: list[str] = []
 
@@ -62,8 +63,22 @@ def discard(df: DataFrame) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by their names, whatever characters these have."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow``, also where columns have names that it cannot resolve; ``run`` finds those by position."""
+    names = [f"_tf_{i}" if re.search("[.`]", n) else n for i, n in enumerate(df.columns)]
+    return df.toDF(*names).mapInArrow(run, schema)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most about ``limit`` bytes of ``column`` (one row at least)."""
+    """Slices of the batches with at most about ``limit`` bytes of ``column`` (one row at least).
+
+    Spark itself bounds a batch by rows and bytes (spark.sql.execution.arrow.maxBytesPerBatch).
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue

@@ -4,11 +4,13 @@ Texts are lower-cased (A-Z) and cut into words; a benchmark item gives its windo
 or one shorter window if it has fewer words.  The hashes of all windows go to every executor; document windows whose
 hash is in the set are compared word for word before they count.  Documents are scanned in one narrow pass.
 
-The set is sent in portions of at most ``portion_bytes`` of benchmark text, with one pass for each portion, so
-that what is broadcast never grows with the tables; one portion is the usual case.
+The set is sent in portions of at most ``portion_windows`` windows, long items in several parts, so that what is
+built and broadcast at a time never grows with the tables; one portion is the usual case.  Where there are more, each
+pass adds what its portion hits to the rows of the pass before, which are written in between: rows are never joined.
 
-Defined results: null or empty texts have no words; items without words, or with a null id, have no windows; items
-with equal texts all count; repeated rows give equal results; an empty benchmark hits nothing.
+Defined results: null or empty texts have no words; items without words have no windows; windows of items with a null
+id hit, but add no id; items with equal texts or ids all count, an id once; repeated rows and null ids are rows like
+others and give equal results; an empty benchmark hits nothing; columns may have any names.
 """
 
 from __future__ import annotations
@@ -21,37 +23,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, LOWER, blocks, bytes_of, prefix_sums, span_hash, window_hash, word_spans
+from .common import ALNUM_WORDS, LOWER, blocks, bytes_of, map_arrow, materialize, prefix_sums, quoted, span_hash, window_hash, word_spans
 
 SPANS = "array<struct<start:bigint,end:bigint>>"
 _FILTER_BITS = 20
 
 
+def words_of(text: str) -> list[bytes]:
+    """The words of a text in lower case."""
+    low = LOWER[np.frombuffer(text.encode(), np.uint8)]
+    raw = low.tobytes()
+    return [raw[a:b] for a, b in zip(*(x.tolist() for x in word_spans(low, ALNUM_WORDS)), strict=True)]
+
+
 class Windows:
-    """The windows of some items: hashes by length, and the items of each window's words."""
-
-    def __init__(self, items: list[tuple[str, str]], width: int):
-        self.items: dict[bytes, list[str]] = {}
-        lengths: dict[int, set[int]] = {}
-        for item, text in items:
-            low = LOWER[np.frombuffer(text.encode(), np.uint8)]
-            start, end = word_spans(low, ALNUM_WORDS)
-            if not len(start):
-                continue
-            n = min(width, len(start))
-            hashes = window_hash(span_hash(prefix_sums(low), start, end), n)
-            lengths.setdefault(n, set()).update(hashes.tolist())
-            raw = low.tobytes()
-            words = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-            for i in range(len(words) - n + 1):
-                owners = self.items.setdefault(b" ".join(words[i : i + n]), [])
-                if item not in owners:
-                    owners.append(item)
-        self.hashes = {n: np.array(sorted(h), np.uint64) for n, h in lengths.items()}
+    """The windows of some items, given by their words: in the order of their hashes, as places in the joined words."""
+
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int):
+        self.names = [item for item, _ in items]
+        self.text = b" ".join(w for _, words in items for w in words)
+        buf = np.frombuffer(self.text, np.uint8)
+        start, end = word_spans(buf, ALNUM_WORDS)
+        ids = span_hash(prefix_sums(buf), start, end)
+        first = np.cumsum([0, *(len(words) for _, words in items)])
+        sizes = np.minimum(np.diff(first), width)
+        #: by number of words: hashes in order, and the item, begin and end of each window
+        self.windows: dict[int, tuple[np.ndarray, ...]] = {}
         self.filters = {}
-        for n, h in self.hashes.items():
+        for n in set(sizes[sizes > 0].tolist()):
+            of = np.flatnonzero(sizes == n)
+            item = np.repeat(of, first[of + 1] - first[of] - n + 1)
+            h = window_hash(ids, n)
+            at = np.concatenate([np.arange(first[i], first[i + 1] - n + 1) for i in of])
+            order = np.argsort(h[at], kind="stable")
+            at = at[order]
+            self.windows[n] = h[at], item[order].astype(np.int32), start[at].astype(np.int32), end[at + n - 1].astype(np.int32)
             self.filters[n] = np.zeros(1 << _FILTER_BITS, bool)
-            self.filters[n][h >> np.uint64(64 - _FILTER_BITS)] = True
+            self.filters[n][h[at] >> np.uint64(64 - _FILTER_BITS)] = True
+
+    def owners(self, n: int, h: int, words: bytes) -> set[int]:
+        """The items that have this window of n words, compared word for word."""
+        known, item, begin, end = self.windows[n]
+        at, found = int(np.searchsorted(known, h)), set()
+        while at < len(known) and known[at] == h:
+            if self.text[begin[at] : end[at]] == words:
+                found.add(int(item[at]))
+            at += 1
+        return found
 
     def scan(self, texts: list[bytes]) -> list[tuple[int, list[dict], list[dict], list[str]]]:
         """For each text: its number of words, the runs of hit words, as word numbers and as bytes, and the items."""
@@ -64,14 +82,14 @@ class Windows:
         ids = span_hash(prefix_sums(low), start, end)
         edge = np.zeros(len(start) + 1, np.int32)
         found: dict[int, set[str]] = {}
-        for n, known in self.hashes.items():
+        for n, (known, *_) in self.windows.items():
             h = window_hash(ids, n)
             at = np.flatnonzero(self.filters[n][h >> np.uint64(64 - _FILTER_BITS)])
             at = at[doc[at] == doc[at + n - 1]]
             at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
             for i in at.tolist():
                 words = b" ".join(low[a:b].tobytes() for a, b in zip(start[i : i + n].tolist(), end[i : i + n].tolist(), strict=True))
-                if owners := self.items.get(words):
+                if owners := self.owners(n, h[i], words):
                     edge[i] += 1
                     edge[i + n] -= 1
                     found.setdefault(int(doc[i]), set()).update(owners)
@@ -84,72 +102,82 @@ class Windows:
                 flags = np.diff(np.concatenate(([0], hit[a:b].astype(np.int8), [0])))
                 runs = [{"start": int(x), "end": int(y)} for x, y in zip(np.flatnonzero(flags == 1), np.flatnonzero(flags == -1), strict=True)]
                 spans = [{"start": int(start[a + r["start"]] - begins[d]), "end": int(end[a + r["end"] - 1] - begins[d])} for r in runs]
-            out.append((b - a, runs, spans, sorted(found.get(d, ()))))
+            names = {self.names[i] for i in found.get(d, ())}
+            out.append((b - a, runs, spans, sorted(x for x in names if x is not None)))
         return out
 
 
-def portions(benchmark: DataFrame, item: str, text: str, portion_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items with a text, as lists of bounded size."""
+def portions(benchmark: DataFrame, item: str, text: str, width: int, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items as words, in lists of at most about ``most`` words; a long item comes in parts that share words, so
+    that each of its windows is in one of them."""
     rows, size = [], 0
-    for r in benchmark.select(F.col(item).cast("string"), F.col(text)).dropna().toLocalIterator():
-        if rows and size + len(r[1]) > portion_bytes:
-            yield rows
-            rows, size = [], 0
-        rows.append((r[0], r[1]))
-        size += len(r[1])
+    for r in benchmark.select(F.col(item).cast("string"), F.col(text)).where(F.col(text).isNotNull()).toLocalIterator():
+        words = words_of(r[1])
+        for a in range(0, max(1, len(words) - width + 1), max(1, most)):
+            part = words[a : a + most + width - 1]
+            if rows and size + len(part) > most:
+                yield rows
+                rows, size = [], 0
+            if part:
+                rows.append((r[0], part))
+                size += len(part)
     yield rows
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 10, portion_bytes: int = 16 << 20, keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
+def _united(old: list[dict], new: list[dict]) -> list[dict]:
+    """Spans sorted and joined where they overlap or touch."""
+    done: list[dict] = []
+    for s in sorted([*old, *new], key=lambda s: s["start"]):
+        if done and done[-1]["end"] >= s["start"]:
+            done[-1]["end"] = max(done[-1]["end"], s["end"])
+        else:
+            done.append(dict(s))
+    return done
+
+
+def scan(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", width: int = 10, portion_windows: int = 1_000_000, keep: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """One row per document: ``key``, the columns ``keep``, n_words, word_spans, byte_spans and item_ids.
 
-    ``prefix`` is put before these names; a column of ``keep`` with one of them is replaced.  Where several portions
-    are needed, ids are unique.
+    ``prefix`` is put before these names; a column of ``keep`` with one of them is replaced.
     """
     spark = documents.sparkSession
-    kept = [c for c in dict.fromkeys((key, *keep, text))]
-    n_words, word_spans, byte_spans, item_ids = new = [prefix + x for x in ("n_words", "word_spans", "byte_spans", "item_ids")]
-    out_names = [c for c in kept if c in (key, *keep) and c not in new]
-    added = T.StructType.fromDDL(f"{n_words} bigint, {word_spans} {SPANS}, {byte_spans} {SPANS}, {item_ids} array<string>")
-    schema = T.StructType([*documents.select(*out_names).schema, *added])
+    new = [prefix + x for x in ("n_words", "word_spans", "byte_spans", "item_ids")]
+    out_names = [c for c in dict.fromkeys((key, *keep)) if c not in new]
+    added = T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in zip(new, ("bigint", SPANS, SPANS, "array<string>"), strict=True)))
+    own = documents.select(*quoted(out_names)).schema
+    kinds = (pa.int64(), *[pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))] * 2, pa.list_(pa.string()))
+    scanned = "_tf_scanned"
 
-    def one_pass(items: list[tuple[str, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Windows(items, width))
+    def one_pass(df: DataFrame, items: list[tuple[str | None, list[bytes]]], first: bool, last: bool) -> DataFrame:
+        shared = spark.sparkContext.broadcast(Windows(items, width))  # portion_windows at most
+        schema = T.StructType([*own, *added, *([] if last else [T.StructField(scanned, T.StringType())])])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows = shared.value
-            spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            for block in blocks(batches, text):
-                n, runs, byte_spans, ids = zip(*windows.scan(bytes_of(block, text)), strict=True)
-                own = [block.column(kept.index(c)) for c in out_names]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), pa.array(runs, spans), pa.array(byte_spans, spans), pa.array(ids, pa.list_(pa.string()))], names=schema.names)
-
-        return documents.select(*kept).mapInArrow(run, schema)
-
-    passes = [one_pass(items) for items in portions(benchmark, item, item_text, portion_bytes)]
-    if len(passes) == 1:
-        return passes[0]
-    both = passes[0]
-    for p in passes[1:]:
-        both = both.unionAll(p)
-    # several portions: one row per portion and document meet again, and their spans are united
-    own = [c for c in out_names if c != key]
-    merged = both.groupBy(key).agg(*(F.first(c).alias(c) for c in own), F.first(n_words).alias(n_words), *(_united(F.flatten(F.collect_list(c))).alias(c) for c in (word_spans, byte_spans)), F.array_sort(F.array_distinct(F.flatten(F.collect_list(item_ids)))).alias(item_ids))
-    return merged.select(schema.names)
-
-
-def _united(spans):
-    """Spans sorted and joined where they overlap or touch."""
-    return F.aggregate(
-        F.array_sort(spans),
-        F.array().cast(SPANS),
-        lambda done, s: F.when((F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"))))).otherwise(F.concat(done, F.array(s))),
-    )
+            for block in blocks(batches, scanned):
+                found = windows.scan(bytes_of(block, scanned))
+                if not first:
+                    before = zip(*(block.column(len(out_names) + i).to_pylist() for i in range(4)), strict=True)
+                    found = [(n, _united(r, a), _united(s, b), sorted({*x, *y})) for (n, r, s, x), (_, a, b, y) in zip(before, found, strict=True)]
+                columns = [block.column(i) for i in range(len(out_names))]
+                columns += [pa.array(x, k) for x, k in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns, *([] if last else [block.column(block.num_columns - 1)])], names=schema.names)
+
+        return map_arrow(df, run, schema)
+
+    out = documents.select(*quoted(out_names), F.col(f"`{text}`").alias(scanned))
+    waiting = None
+    for n, items in enumerate(portions(benchmark, item, item_text, width, portion_windows)):
+        if waiting is not None:
+            out = materialize(one_pass(out, waiting, n == 1, False), "scanned")
+        waiting = items
+        count = n
+    return one_pass(out, waiting, count == 0, True)
 
 
 def n_hit(prefix: str = ""):
     """Hit words of a scanned row."""
-    return F.aggregate(f"{prefix}word_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return F.aggregate(f"`{prefix}word_spans`", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, *, action: str = "remove_documents", max_hit_share: float = 0.0, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -161,11 +189,11 @@ def clean(documents: DataFrame, benchmark: DataFrame, *, action: str = "remove_d
     names, p = documents.columns, "_tf_"
     found = scan(documents, benchmark, key=key, text=text, keep=tuple(names), prefix=p, **options)
     if action == "remove_documents":
-        return found.where(n_hit(p) <= max_hit_share * F.col(f"{p}n_words")).select(names)
+        return found.where(n_hit(p) <= max_hit_share * F.col(f"{p}n_words")).select(*quoted(names))
     if action != "remove_spans":
         raise ValueError(f"unknown action {action!r}")
-    raw, spans = F.encode(text, "utf-8"), f"{p}byte_spans"
+    raw, spans = F.encode(F.col(f"`{text}`"), "utf-8"), f"{p}byte_spans"
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
-    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(text).cast("bigint")))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(F.col(f"`{text}`")).cast("bigint")))
     pieces = F.zip_with(starts, ends, lambda a, b: F.decode(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")), "utf-8"))
-    return found.withColumn(text, F.when(F.size(spans) > 0, F.array_join(pieces, "")).otherwise(F.col(text))).select(names)
+    return found.withColumn(text, F.when(F.size(spans) > 0, F.array_join(pieces, "")).otherwise(F.col(f"`{text}`"))).select(*quoted(names))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, texts_of
+from .common import blocks, map_arrow, quoted, texts_of
 
 UNDETERMINED = "und"
 BITS = 17
@@ -207,7 +207,7 @@ def predict(documents: DataFrame, model: Model, *, text: str = "text", keep: tup
     shared = documents.sparkSession.sparkContext.broadcast(model)  # COLUMNS rows, whatever the data
     kept = list(dict.fromkeys((*keep, text)))
     out = [c for c in kept if c in keep and c not in names]
-    schema = T.StructType([*documents.select(*out).schema, *T.StructType.fromDDL(f"`{names[0]}` string, `{names[1]}` double")])
+    schema = T.StructType([*documents.select(*quoted(out)).schema, *T.StructType.fromDDL(f"`{names[0]}` string, `{names[1]}` double")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -216,4 +216,4 @@ def predict(documents: DataFrame, model: Model, *, text: str = "text", keep: tup
             own = [block.column(kept.index(c)) for c in out]
             yield pa.RecordBatch.from_arrays([*own, pa.array(languages), pa.array(scores)], names=schema.names)
 
-    return documents.select(*kept).mapInArrow(run, schema)
+    return map_arrow(documents.select(*quoted(kept)), run, schema)

@@ -6,13 +6,13 @@ _LOW = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 DECONTAMINATE = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-bs AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0 AND item_id IS NOT NULL),
+bs AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
 bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM bs)),
 dw AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS s
        FROM (SELECT d.doc_id, d.w, x.n, unnest(range(1, len(d.w) - x.n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) AS x)),
 h AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, s)),
 c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
-t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_WORDS, blocks, bytes_of, materialize, mix64, prefix_sums, span_hash, window_hash, word_spans
+from .common import SPACE_WORDS, blocks, bytes_of, map_arrow, materialize, mix64, prefix_sums, quoted, span_hash, window_hash, word_spans
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WIDTH = 5
@@ -78,14 +78,14 @@ def features(documents: DataFrame, *, text: str = "text", keep: tuple[str, ...]
     """The columns ``keep`` with the COUNTS of every whole text; a narrow step.  A column of their names is replaced."""
     kept = list(dict.fromkeys((*keep, text)))
     out = [c for c in kept if c in keep and c not in COUNTS]
-    schema = T.StructType([*documents.select(*out).schema, *T.StructType.fromDDL(", ".join(f"{c} bigint" for c in COUNTS))])
+    schema = T.StructType([*documents.select(*quoted(out)).schema, *T.StructType.fromDDL(", ".join(f"{c} bigint" for c in COUNTS))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
             own = [block.column(kept.index(c)) for c in out]
             yield pa.RecordBatch.from_arrays([*own, *map(pa.array, statistics(bytes_of(block, text)))], names=schema.names)
 
-    return documents.select(*kept).mapInArrow(run, schema)
+    return map_arrow(documents.select(*quoted(kept)), run, schema)
 
 
 def base_failed() -> Column:
