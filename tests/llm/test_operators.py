@@ -498,16 +498,20 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [None, 1])
-def test_repeated_strings(spark, hot):
-    r = random.Random(hot or 0)
+@pytest.mark.parametrize("items", [repeats.ITEMS, 300, 20])
+def test_repeated_strings(spark, items):
+    """With few items at a time, groups are halved and dealt anew, and equals of one window are split."""
+    r = random.Random(items)
     passage = ["".join(r.choices("abcdefgh ", k=n)) for n in (90, 60, 41, 40, 39, 200)]
     texts = ["".join(r.choice([r.choice(passage), "".join(r.choices("abcdefghé ", k=r.randint(0, 60)))]) for _ in range(r.randint(0, 6))) for _ in range(60)]
     texts += ["a" * 300, "ab" * 100, "x" * 41, "", None, "same " * 30, "same " * 30]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("kept", F.lit(1))
-    out = repeats.remove(df, length=40, gram=17, hot=hot).orderBy("doc_id").collect()
-    found = [(x["n_bytes"], sum(s["end"] - s["start"] for s in x["removed"]), len(x["removed"]), bytes(x["kept"])) for x in out]
-    assert found == brute_repeats([(t or "").encode() for t in texts], 40)
+    ids = [*range(len(texts)), None, None, 3, 5, 5]  # rows without an id, and of one id, whether equal or not
+    texts += [passage[0], passage[0], texts[3], passage[5], "y" + passage[5]]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string").withColumn("kept", F.lit(1))
+    out = repeats.remove(df, length=40, gram=17, items=items).collect()
+    found = [(x["doc_id"], x["n_bytes"], sum(s["end"] - s["start"] for s in x["removed"]), len(x["removed"]), bytes(x["kept"])) for x in out]
+    wanted = [(i, *x) for i, x in zip(ids, brute_repeats([(t or "").encode() for t in texts], 40), strict=True)]
+    assert sorted(map(repr, found)) == sorted(map(repr, wanted))
 
 
 def test_long_texts_in_segments(spark, monkeypatch):

@@ -63,6 +63,23 @@ def discard(df: DataFrame) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def numbered(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """``row``, doc_id and text, with a number for each row that no other row has.
+
+    It is the id where that is whole and occurs once.  Other rows, usually none, are written with numbers below all ids,
+    so that these are the same whenever they are read.
+    """
+    df = documents.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    odd = df.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id")
+    odd = materialize(odd, "ids")
+    if odd.isEmpty():
+        return df.select(F.col("doc_id").alias("row"), "doc_id", "text")
+    below = F.lit(min(0, df.agg(F.min("doc_id")).first()[0] or 0) - 1)
+    same = df["doc_id"].eqNullSafe(odd["doc_id"])
+    others = materialize(df.join(odd, same, "left_semi").select((below - F.monotonically_increasing_id()).alias("row"), "doc_id", "text"), "numbered")
+    return df.join(odd, same, "left_anti").select(F.col("doc_id").alias("row"), "doc_id", "text").unionAll(others)
+
+
 def quoted(names: Iterable[str]) -> list[Column]:
     """Columns by their names, whatever characters these have."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]

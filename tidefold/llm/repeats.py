@@ -9,28 +9,29 @@ anchor, its ``gram`` bytes with the least hash (the leftmost of equal ones).  Eq
 equal offsets, so:
 
 * anchors whose hash occurs once in the corpus have no repeated windows, and go;
-* where the whole stretch of an anchor's windows occurs twice, all of them are repeated: such stretches, the bulk of
-  copied text, are counted and joined, and one of each stands for all in the sort;
-* the other stretches, at the edges of copied passages, are dealt by their anchors and sorted there;
-* an anchor with more than ``hot`` different stretches, which could have more windows than a task sorts at a time
-  (ITEMS), is not sorted in one task: its windows are counted by their 128-bit hashes, pre-aggregated, and joined
-  back.
+* of the stretches of windows that share an anchor, those that are alike as a whole (by hashes) are one kind; two of
+  a kind, or the only one, are dealt by their anchor and sorted there.  What the sort finds in a kind is then removed from
+  all its stretches, whose bytes have to have the same 128-bit digest;
+* anchors with more windows than a task sorts at a time (ITEMS) are dealt anew: their windows are halved by their offset
+  from the anchor, which makes the part that all windows of a half have in common longer, and dealt by that part; and
+  so on, until a task can take them or a half is one window, whose equals may be dealt in any way.
 
 Defined results: null texts are empty; texts shorter than ``length`` have no windows; overlapping windows of one
-document count; long documents are read in segments of bounded memory; repeated rows are copies of one another; rows
-with a null id are returned whole and count nowhere; ids are unique otherwise.
+document count; long documents are read in segments of bounded memory; repeated rows are copies of one another, and rows
+with a null id, or with one id and different texts, are documents like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bytes_of, discard, materialize, prefix_sums, rolling_hash, span_hash
+from .common import blocks, bytes_of, discard, materialize, numbered, prefix_sums, rolling_hash, span_hash
 
 SEGMENT = 1 << 20
 #: Windows sorted at a time.
@@ -140,25 +141,46 @@ def radix_repeats(data: np.ndarray, start: np.ndarray, group: np.ndarray, length
     return item[np.bincount(g)[g] > 1]
 
 
-def _stretches(rows: list[tuple], length: int) -> list[tuple]:
-    """Repeated runs (doc_id, start, end) of rows (anchor, doc_id, offset of the anchor, first window, copies, bytes)."""
-    data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-    sizes = np.array([len(r[5]) for r in rows])
+#: A stretch to be sorted: its group, the offsets from the anchor that the group has, its kind, whether it speaks for
+#: others of its kind, its row, the places of the anchor, of the first window of the kind and of its own, and its bytes.
+STRETCH = "bucket bigint, least int, most int, anchor bigint, stretch bigint, alone boolean, speaks boolean, row bigint, place bigint, origin bigint, lo bigint, bytes binary"
+LONG = pa.int64()
+KINDS = (LONG, pa.int32(), pa.int32(), LONG, LONG, pa.bool_(), pa.bool_(), LONG, LONG, LONG, LONG, pa.binary())
+NAMES = [x.split()[0] for x in STRETCH.split(", ")]
+#: What the sort finds: repeated bytes of a row, or of a kind, from its stretches' begin on, with their digest.
+FOUND = "row bigint, anchor bigint, stretch bigint, start bigint, end bigint, digest binary"
+
+
+def digest(data: bytes) -> bytes:
+    return blake2b(data, digest_size=16).digest()
+
+
+def _repeated(rows: list[tuple], length: int) -> list[tuple]:
+    """Rows of FOUND for stretches of whole groups."""
+    data = np.frombuffer(b"".join(r[11] for r in rows), np.uint8)
+    sizes = np.array([len(r[11]) for r in rows])
     begin = np.cumsum(sizes) - sizes
     count = sizes - length + 1
     row = np.repeat(np.arange(len(rows)), count)
     nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    offset = np.array([r[2] - r[3] for r in rows])[row] - nth
-    _, anchor = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
-    hit = np.sort(radix_repeats(data, begin[row] + nth, anchor[row] * (length + 1) + offset, length))
-    alone = np.array([r[4] == 1 for r in rows])
-    hit = hit[alone[row[hit]]]
+    offset = np.array([r[8] - r[10] for r in rows])[row] - nth
+    _, group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
+    hit = np.sort(radix_repeats(data, begin[row] + nth, group[row] * (length + 1) + offset, length))
+    speaks = np.array([r[5] or r[6] for r in rows])
+    hit = hit[speaks[row[hit]]]
     if not len(hit):
         return []
     new = np.concatenate(([True], (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])))
     a = np.flatnonzero(new)
     b = np.concatenate((a[1:], [len(hit)])) - 1
-    return [(rows[r][1], rows[r][3] + x, rows[r][3] + y + length) for r, x, y in zip(row[hit[a]].tolist(), nth[hit[a]].tolist(), nth[hit[b]].tolist(), strict=True)]
+    out = []
+    for i, x, y in zip(row[hit[a]].tolist(), nth[hit[a]].tolist(), nth[hit[b]].tolist(), strict=True):
+        r = rows[i]
+        if r[5]:
+            out.append((r[7], None, None, r[10] + x, r[10] + y + length, None))
+        else:
+            out.append((None, r[3], r[4], r[10] - r[9] + x, r[10] - r[9] + y + length, digest(r[11][x : y + length])))
+    return out
 
 
 def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
@@ -166,12 +188,60 @@ def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-LONG = pa.int64()
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1024):
+            yield from zip(*(c.to_pylist() for c in batch.slice(a, 1024).columns), strict=True)
 
 
-def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 200, gram: int = 64, hot: int | None = None) -> DataFrame:
-    """Stretches (doc_id, start, end) of bytes in repeated windows; they may overlap."""
-    source = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
+def sorted_repeats(stretches: DataFrame, length: int, items: int) -> DataFrame:
+    """FOUND for the stretches; groups meet in a task and are sorted there, some groups at a time."""
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, names = (*[LONG] * 5, pa.binary()), [x.split()[0] for x in FOUND.split(", ")]
+        rows: list[tuple] = []
+        windows = 0
+        for row in _rows(batches):
+            if windows > items and row[0] != rows[-1][0]:
+                yield _batch(_repeated(rows, length), kinds, names)
+                rows, windows = [], 0
+            rows.append(row)
+            windows += len(row[11]) - length + 1
+        if rows:
+            yield _batch(_repeated(rows, length), kinds, names)
+
+    parts = int(stretches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stretches.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, FOUND)
+
+
+def halved(stretches: DataFrame, length: int) -> DataFrame:
+    """The stretches in two parts by their windows' offsets, dealt by what all windows of a part have in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for bucket, least, most, anchor, stretch, alone, speaks, row, place, origin, lo, data in _rows(batches):
+            hi, middle = lo + len(data) - length, (least + most) // 2
+            for x, y in ((least, middle), (middle + 1, most)):
+                first, last = max(lo, place - y), min(hi, place - x)
+                if first <= last:
+                    same = data[place - x - lo : place - y + length - lo]
+                    group = blake2b(b"%d %d %d " % (bucket, x, y) + same, digest_size=8).digest()
+                    out.append((int.from_bytes(group, "little", signed=True), x, y, anchor, stretch, alone, speaks, row, place, origin, first, data[first - lo : last - lo + length]))
+            if len(out) >= 1024:
+                yield _batch(out, KINDS, NAMES)
+                out = []
+        if out:
+            yield _batch(out, KINDS, NAMES)
+
+    return stretches.mapInArrow(run, STRETCH)
+
+
+def covered(source: DataFrame, *, length: int = 200, gram: int = 64, items: int = ITEMS) -> DataFrame:
+    """Of ``source`` (row, text): stretches (row, start, end, digest) of bytes in repeated windows; they may overlap.
+    Where there is a digest, it is that of the bytes, and a stretch with other bytes does not count."""
+    width = length - gram
+    if width > 255 or length < 8:
+        raise ValueError("length must be 8 at least and less than 256 above gram")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -183,80 +253,70 @@ def covered(documents: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 shift = offset[part] - begins[part]
                 # a position, and the distances to its first and last windows, in one number
                 packed = ((place + shift) << 16) | ((place - lo) << 8) | (hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), stretch.view(np.int64), ids[number[part]], packed)], names=["anchor", "stretch", "doc_id", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), stretch.view(np.int64), ids[number[part]], packed)], names=["anchor", "stretch", "row", "packed"])
 
-    hot = ITEMS // (length - gram + 1) if hot is None else hot
-    if length - gram > 255 or length < 8:
-        raise ValueError("length must be 8 at least and less than 256 above gram")
-    found = materialize(source.mapInArrow(find, "anchor bigint, stretch bigint, doc_id bigint, packed bigint"), "anchors")
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = materialize(found.join(counted, "anchor"), "shared")
+    found = materialize(source.mapInArrow(find, "anchor bigint, stretch bigint, row bigint, packed bigint"), "anchors")
+    several = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "several")
+    shared = materialize(found.join(several, "anchor"), "shared")
     discard(found)
+    discard(several)
     place, lo = F.shiftright("packed", 16), F.shiftright("packed", 16) - F.shiftright("packed", 8).bitwiseAND(F.lit(255))
     hi = lo + F.col("packed").bitwiseAND(F.lit(255))
 
-    kinds = shared.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), F.first("doc_id").alias("doc_id"), F.first("packed").alias("packed"))
-    kinds = materialize(kinds, "stretches")
-    whole = shared.join(kinds.where("copies > 1").select("anchor", "stretch"), ["anchor", "stretch"]).select("doc_id", lo.alias("start"), (hi + length).alias("end"))
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1")
-    edges = kinds.join(several, "anchor").select("doc_id", F.struct("anchor", place.alias("place"), lo.alias("lo"), hi.alias("hi"), "copies", "different").alias("edge"))
-    by_document = edges.groupBy("doc_id").agg(F.collect_list("edge").alias("edges"))  # as many as its text has anchors
-    names = ["anchor", "doc_id", "place", "lo", "copies", "different", "bytes"]
+    one, other = (F.struct(f("row").alias("row"), f("packed").alias("packed")) for f in (F.first, F.last))
+    kinds = shared.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), one.alias("one"), other.alias("other"))
+    both = F.when(F.col("copies") > 1, F.array(F.col("one"), F.col("other"))).otherwise(F.array(F.col("one")))
+    edges = kinds.select("anchor", "stretch", "copies", F.posexplode(both).alias("nth", "e")).select("anchor", "stretch", "copies", "nth", "e.*")
+    edges = edges.select("row", F.struct("anchor", "stretch", (F.col("copies") == 1).alias("alone"), (F.col("nth") == 0).alias("speaks"), place.alias("place"), lo.alias("lo"), hi.alias("hi")).alias("edge"))
+    by_row = edges.groupBy("row").agg(F.collect_list("edge").alias("edges"))  # as many as its text has anchors
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (LONG, LONG, LONG, LONG, LONG, LONG, pa.binary())
         for block in blocks(batches, "text"):
             rows = []
-            for i, t, found in zip(block.column(0).to_pylist(), bytes_of(block, "text"), block.column(2).to_pylist(), strict=True):
-                rows += [(e["anchor"], i, e["place"], e["lo"], e["copies"], e["different"], t[e["lo"] : e["hi"] + length]) for e in found if e["hi"] + length <= len(t)]
-            yield _batch(rows, kinds, names)
-
-    cuts = source.join(by_document, "doc_id").mapInArrow(cut, "anchor bigint, doc_id bigint, place bigint, lo bigint, copies bigint, different bigint, bytes binary")
-    cuts = materialize(cuts, "edges")
-
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        windows = 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if windows > ITEMS and row[0] != rows[-1][0]:
-                    yield _batch(_stretches(rows, length), (LONG,) * 3, ["doc_id", "start", "end"])
-                    rows, windows = [], 0
-                rows.append(row)
-                windows += len(row[5]) - length + 1
-        if rows:
-            yield _batch(_stretches(rows, length), (LONG,) * 3, ["doc_id", "start", "end"])
-
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_edges = cuts.where(F.col("different") <= hot).drop("different").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(sort, "doc_id bigint, start bigint, end bigint")
-    out = whole.unionAll(sorted_edges)
-    if not cuts.where(F.col("different") > hot).isEmpty():
-        out = out.unionAll(_by_hash(cuts.where(F.col("different") > hot), length))
+            for i, t, edges in zip(block.column(0).to_pylist(), bytes_of(block, "text"), block.column(2).to_pylist(), strict=True):
+                rows += [(e["anchor"], 0, width, e["anchor"], e["stretch"], e["alone"], e["speaks"], i, e["place"], e["lo"], e["lo"], t[e["lo"] : e["hi"] + length]) for e in edges]
+                if len(rows) > 4096:
+                    yield _batch(rows, KINDS, NAMES)
+                    rows = []
+            yield _batch(rows, KINDS, NAMES)
+
+    left = materialize(source.join(by_row, "row").mapInArrow(cut, STRETCH), "edges")
+    hits = []
+    while True:
+        n = F.sum(F.octet_length("bytes") - length + 1)
+        sizes = left.groupBy("bucket", (F.col("least") == F.col("most")).alias("last")).agg(n.alias("windows")).where(f"windows > {items}")
+        sizes = materialize(sizes, "sizes")
+        if sizes.isEmpty():
+            hits.append(materialize(sorted_repeats(left, length, items), "hits"))
+            break
+        # equals of one window: any two of them tell that both are repeated, so each part has many
+        parts = F.floor(2 * F.col("windows") / items).cast("int") + 1
+        dealt = left.join(sizes, "bucket", "left").withColumn("bucket", F.when(F.col("last"), F.xxhash64("bucket", F.pmod(F.xxhash64("row", "lo"), parts))).otherwise(F.col("bucket")))
+        dealt = materialize(dealt, "dealt")
+        hits.append(materialize(sorted_repeats(dealt.where("last OR windows IS NULL").drop("last", "windows"), length, items), "hits"))
+        again = halved(dealt.where("NOT last").drop("last", "windows"), length)
+        discard(left)
+        again = materialize(again, "edges")
+        pairs = materialize(again.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "several")
+        left = materialize(again.join(pairs, "bucket"), "edges")
+        discard(again)
+        discard(dealt)
+    discard(left)
+    spans = []
+    for h in hits:
+        spans.append(h.where("row IS NOT NULL").select("row", "start", "end", "digest"))
+        kind = h.where("row IS NULL").select("anchor", "stretch", F.col("start").alias("a"), F.col("end").alias("b"), "digest")
+        spans.append(shared.join(kind, ["anchor", "stretch"]).select("row", (lo + F.col("a")).alias("start"), (lo + F.col("b")).alias("end"), "digest"))
+    out = spans[0]
+    for x in spans[1:]:
+        out = out.unionAll(x)
     return out
 
 
-def _by_hash(cuts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many stretches: each window by its hash, counted and joined back."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for anchor, doc, place, lo, copies, _, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                buf = np.frombuffer(data, np.uint8)
-                h = rolling_hash(prefix_sums(buf), length)
-                other = rolling_hash(prefix_sums(buf ^ np.uint8(0x5A)), length)
-                at = lo + np.arange(len(h))
-                same = lambda x, n=len(h): pa.array(np.full(n, x, np.int64))
-                yield pa.RecordBatch.from_arrays([same(anchor), pa.array(place - at), pa.array(h.view(np.int64)), pa.array(other.view(np.int64)), same(doc), pa.array(at), same(copies)], names=["anchor", "offset", "h1", "h2", "doc_id", "start", "copies"])
-
-    windows = materialize(cuts.mapInArrow(spread, "anchor bigint, offset bigint, h1 bigint, h2 bigint, doc_id bigint, start bigint, copies bigint"), "windows")
-    on = ["anchor", "offset", "h1", "h2"]
-    twice = windows.groupBy(on).agg(F.count("*").alias("n")).where("n > 1").select(on)
-    return windows.where("copies = 1").join(twice, on).select("doc_id", "start", (F.col("start") + length).alias("end"))
-
-
 def remove(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: doc_id, n_bytes, removed (spans of bytes) and kept (the remaining bytes)."""
-    spans = covered(documents, key=key, text=text, **options).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    source = numbered(documents, key, text)
+    spans = covered(source.select("row", "text"), **options).groupBy("row").agg(F.collect_list(F.struct("start", "end", "digest")).alias("spans"))
     spans = materialize(spans, "spans")
     names = ["doc_id", "n_bytes", "removed", "kept"]
     pairs = pa.list_(pa.struct([("start", LONG), ("end", LONG)]))
@@ -266,7 +326,7 @@ def remove(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **o
             rows = []
             for i, t, found in zip(block.column(0).to_pylist(), bytes_of(block, "text"), block.column(2).to_pylist(), strict=True):
                 runs: list[list[int]] = []
-                for a, b in sorted((s["start"], s["end"]) for s in found or ()):
+                for a, b in sorted((s["start"], s["end"]) for s in found or () if s["digest"] is None or s["digest"] == digest(t[s["start"] : s["end"]])):
                     if runs and a <= runs[-1][1]:
                         runs[-1][1] = max(b, runs[-1][1])
                     else:
@@ -279,5 +339,5 @@ def remove(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **o
                 rows.append((i, len(t), [{"start": a, "end": b} for a, b in runs], b"".join(kept)))
             yield _batch(rows, (LONG, LONG, pairs, pa.binary()), names)
 
-    source = documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return source.join(spans, "doc_id", "left").mapInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
+    met = source.join(spans, "row", "left").select("doc_id", "text", "spans")
+    return met.mapInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
