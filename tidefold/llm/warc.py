@@ -1,17 +1,20 @@
 """WARC archives of page captures, and their index by an external merge.
 
 Writing: every page becomes a WARC/1.1 record, made of SQL expressions and written by Spark's own text writer, whose
-line end is the blank line that ends a record; files are bounded in records.  Of pages with equal payloads of at
-least ``min_bytes``, the one with the smallest id is a response, the others are revisits that name it and carry no
-payload.  Reading parses the files, recomputes each response's digest and gives one row per record.
-
-Index: each archive file's captures are sorted by URL key and timestamp where they are read, a run.  The key space is
-cut into ranges at sampled keys; each range's slices of the runs are merged by a loser tree, so that the ranges in
-their order hold the capture histories in global order.  Ids break ties, so one URL with any share of the captures
-is still cut into many ranges.
-
-Defined results: null payloads are empty; null URLs have no target; control characters in URLs are left out; ids are
-unique, or null (a record without one, never a revisit); timestamps come from ``timestamp`` (a column or an expression), or else count seconds by id from EPOCH.
+line end is the blank line that ends a record; files have about FILE_BYTES, and never more than FILE_LIMIT.  Of pages
+with equal payloads of at least ``min_bytes``, the one with the smallest id is a response, the others are revisits that
+name it and carry no payload.  Reading parses the files, recomputes each response's digest and gives one row per record.
+
+Index: each archive file's captures are sorted by URL key and timestamp where they are read; written, these are the runs.
+The key space is cut into ranges at sampled keys, so many that a range has about ``range_rows`` captures however many
+there are; each range's slices of the runs, still in their order, are merged by a loser tree, so that the ranges in
+their order hold the capture histories in global order.  Only keys are Python objects, and ids break ties, so one URL
+with any share of the captures is still cut into many ranges.
+
+Defined results: null payloads are empty; null URLs have no target; control characters in URLs are left out; a row
+without an id is a response; of repeated rows each gives a record, and all rows with the response's id and payload are
+responses; an empty table gives no records; timestamps come from ``timestamp`` (a column or an expression), or else
+count seconds by id, modulo a hundred years, from EPOCH.
 """
 
 from __future__ import annotations
@@ -29,7 +32,10 @@ from .common import materialize
 
 EPOCH = "2020-01-01 00:00:00"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-FILE_RECORDS = 2000
+FILE_BYTES, FILE_LIMIT = 64 << 20, 1 << 30
+#: Header lines of a record have fewer bytes without the URL.
+HEADER_BYTES = 1000
+RANGE_ROWS = 100_000
 END = "\r\n\r\n"
 
 
@@ -45,11 +51,13 @@ def base32_sha1(sha1_hex: Column) -> Column:
 
 
 def roles(pages: DataFrame, *, key: str = "page_id", payload: str = "html", min_bytes: int = 0) -> DataFrame:
-    """Pages that repeat an earlier payload: _page, _first (the response's id).  Groups are pre-aggregated."""
+    """Pages that repeat an earlier payload, each once: _page, _sha1, _first (the response's id).  Groups are
+    pre-aggregated, and written, so that the join that follows can split a payload that many pages have."""
     body = F.coalesce(F.encode(payload, "utf-8"), F.lit(b""))
-    digest = pages.select(F.col(key).cast("bigint").alias("_page"), F.sha1(body).alias("_sha1"), F.octet_length(body).alias("_n")).where(F.col("_n") >= min_bytes).drop("_n")
-    firsts = digest.groupBy("_sha1").agg(F.min("_page").alias("_first"), F.count("*").alias("_count")).where("_count > 1")
-    return digest.join(firsts, "_sha1").where("_page <> _first").select("_page", "_first")
+    digest = pages.select(F.col(key).cast("bigint").alias("_page"), F.sha1(body).alias("_sha1"), F.octet_length(body).alias("_n")).where((F.col("_n") >= min_bytes) & F.col("_page").isNotNull()).drop("_n")
+    firsts = digest.groupBy("_sha1").agg(F.min("_page").alias("_first"), F.max("_page").alias("_last")).where("_first <> _last").drop("_last")
+    firsts = materialize(firsts, "firsts")
+    return digest.join(firsts, "_sha1").where("_page <> _first").distinct()
 
 
 def record_id(page: Column) -> Column:
@@ -61,14 +69,17 @@ def record_id(page: Column) -> Column:
 def write(pages: DataFrame, path: str, *, key: str = "page_id", url: str = "url", payload: str = "html", timestamp: Column | None = None, min_bytes: int = 0) -> None:
     """Write the archive to ``path``."""
     again = materialize(roles(pages, key=key, payload=payload, min_bytes=min_bytes), "revisits")
+    size = HEADER_BYTES + F.coalesce(F.octet_length(payload), F.lit(0)) + F.coalesce(F.octet_length(url), F.lit(0))
+    mean, most = pages.agg(F.avg(size), F.max(size)).first()
+    records = max(1, min(int(FILE_BYTES / (mean or 1)), FILE_LIMIT // (most or 1)))
     page, body = F.col(key).cast("bigint"), F.coalesce(F.col(payload), F.lit(""))
-    when = F.expr(f"timestamp_seconds(unix_seconds(timestamp '{EPOCH}') + {key})") if timestamp is None else timestamp
-    rows = pages.select(page.alias("_page"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\x00-\x20\x7f]", "").alias("_url"), body.alias("_body"), F.date_format(F.coalesce(when, F.expr(f"timestamp '{EPOCH}'")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_when"))
-    rows = rows.join(again, "_page", "left")  # broadcast by its measured size if small, else by a sort-merge join
+    when = F.timestamp_seconds(F.expr(f"unix_seconds(timestamp '{EPOCH}')") + F.pmod(page, F.lit(100 * 365 * 86_400))) if timestamp is None else timestamp
+    rows = pages.select(page.alias("_page"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\x00-\x20\x7f]", "").alias("_url"), body.alias("_body"), F.sha1(F.encode(body, "utf-8")).alias("_sha1"), F.date_format(F.coalesce(when, F.expr(f"timestamp '{EPOCH}'")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_when"))
+    rows = rows.join(again, ["_page", "_sha1"], "left")  # broadcast by its measured size if small, else by a sort-merge join
     first = F.col("_first")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("_body"), F.lit(END))
     block = F.when(first.isNull(), F.concat(http, F.col("_body"))).otherwise(http)
-    digest = base32_sha1(F.sha1(F.encode("_body", "utf-8")))
+    digest = base32_sha1(F.col("_sha1"))
     fields = [
         ("WARC-Type", F.when(first.isNull(), "response").otherwise("revisit")),
         ("WARC-Record-ID", record_id(F.col("_page"))),
@@ -84,7 +95,7 @@ def write(pages: DataFrame, path: str, *, key: str = "page_id", url: str = "url"
     ]
     lines = [F.lit("WARC/1.1\r\n"), *(F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit("")) for name, value in fields)]
     record = F.concat(*lines, F.lit("\r\n"), F.col("_block"))
-    rows.withColumn("_block", block).select(record.alias("record")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    rows.withColumn("_block", block).select(record.alias("record")).write.option("lineSep", END).option("maxRecordsPerFile", records).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -181,32 +192,32 @@ class LoserTree:
             self._play(i)
 
 
-def merged(captures: DataFrame, ranges: int | None = None) -> DataFrame:
-    """The captures in global order: partitions by ascending ranges, each merged from its slices of the runs.
-
-    A range is held in memory while it is merged; there are as many ranges as shuffle partitions, or ``ranges``.
-    """
-    spark = captures.sparkSession
-    names = captures.columns
+def merged(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The captures of a written table of runs in global order: partitions by ascending ranges, each merged from its
+    slices of the runs.  A task holds the captures of its range as Arrow columns, and their keys."""
+    ranges = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // range_rows))
+    at = [captures.columns.index(c) for c in ("url_key", "ts", "page_id", "file")]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list] = {}
+        kept: list[pa.RecordBatch] = []
+        runs: list[list[tuple]] = []
+        of: dict[str, list[tuple]] = {}
+        n = 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                run = slices.setdefault(row[7], [])
-                run.append(row)
-        for run in slices.values():  # a run may arrive in several blocks
-            run.sort(key=place)
-        rows, kinds = [], captures_schema
-        for row in LoserTree([iter(r) for _, r in sorted(slices.items())], place):
-            rows.append(row)
-            if len(rows) == 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+            kept.append(batch)
+            for url, ts, page, file in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
+                head = place((url, ts, page)), n
+                run = of.get(file)
+                if run is None or run[-1] > head:  # a slice that does not go on where the file's last one ended
+                    run = of[file] = []
+                    runs.append(run)
+                run.append(head)
+                n += 1
+        if not kept:
+            return
+        table = pa.Table.from_batches(kept)
+        order = pa.array((row for _, row in LoserTree([iter(r) for r in runs], lambda x: x)), pa.int64())
+        for a in range(0, n, 4096):
+            yield from table.take(order[a : a + 4096]).combine_chunks().to_batches()
 
-    long, string = pa.int64(), pa.string()
-    captures_schema = (string, string, long, string, long, long, string, string, long, long)
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return captures.repartitionByRange(ranges, "url_key", "ts", "page_id").mapInArrow(merge, CAPTURE)
