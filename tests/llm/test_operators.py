@@ -265,7 +265,8 @@ def test_warc(spark, tmp_path):
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("_page", F.lit(1)).repartition(5)
     path = str(tmp_path / "warc")
     warc.write(df.drop("_page"), path)
-    out = warc.merged(warc.read(spark, path), 3).collect()
+    warc.read(spark, path).write.parquet(str(tmp_path / "runs"))
+    out = warc.merged(spark.read.parquet(str(tmp_path / "runs")), 7).collect()
     first: dict = {}
     for i, _, h in pages:
         first.setdefault((h or "").encode(), i)
@@ -276,9 +277,14 @@ def test_warc(spark, tmp_path):
         assert (row["record_type"], row["refers_to"]) == (("response", None) if f == row["page_id"] else ("revisit", f))
     order = [(row["url_key"], row["ts"], row["page_id"]) for row in out]
     assert order == sorted(order) and len(out) == 60
+    # repeated rows, one id with two payloads, and large ids
+    odd = [(1, "u", "a"), (2, "u", "a"), (2, "u", "a"), (3, "u", "b"), (3, "u", "a"), (1 << 62, "u", "c" * 1_000_000), (1, "u", "a")]
+    warc.write(spark.createDataFrame(odd, "page_id bigint, url string, html string"), str(tmp_path / "odd"))
+    found = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"] or 0) for r in warc.read(spark, str(tmp_path / "odd")).collect())
+    assert found == [(1, 1, "response", 0), (1, 1, "response", 0), (2, 1, "revisit", 1), (2, 1, "revisit", 1), (3, 1, "response", 0), (3, 1, "revisit", 1), (1 << 62, 1_000_000, "response", 0)]
     empty_pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     warc.write(empty_pages, str(tmp_path / "none"))
-    assert warc.read(spark, str(tmp_path / "none")).collect() == []
+    assert warc.read(spark, str(tmp_path / "none")).collect() == [] == warc.merged(warc.read(spark, str(tmp_path / "none"))).collect()
     with pytest.raises(ValueError, match="wrong length"):
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabcd\r\n\r\n"))
 
@@ -453,6 +459,11 @@ def test_records(spark, tmp_path, documents):
     assert [r["start"] for r in out] == [0, *np.cumsum([r["n_ids"] for r in out])[:-1].tolist()]
     want = Counter((k, zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes())) for k, t in rows)
     assert Counter((r["key"], r["ids_crc32"]) for r in out) == want
+    totals = [(f"part-{i:05d}-x", i % 7) for i in range(99_990, 100_020)]  # numbers of more digits come after
+    found = {r["file"]: r["before"] for r in records.before(spark.createDataFrame(totals, "file string, n bigint"), 4).collect()}
+    assert found == {f: sum(n for _, n in totals[:k]) for k, (f, _) in enumerate(totals)}
+    records.write(empty(spark), encoder, str(tmp_path / "none"))
+    assert records.index(spark, str(tmp_path / "none")).collect() == []
     some = out[17]
     k, ids = records.fetch(spark, path, some["file"], some["offset"], some["length"])
     assert k == some["key"] and zlib.crc32(np.array(ids, "<u4").tobytes()) == some["ids_crc32"]

@@ -13,18 +13,20 @@ File format (all integers little-endian), one record after the other:
 A checksum is masked, as it would otherwise be likely to meet checksums of data that hold checksums: rotated right
 by 15 bits plus a constant.  Ids take two bytes if the vocabulary allows it.
 
-Writing: rows are dealt by ranges of the key and sorted inside each, so that the files in the order of their names
+Writing: rows are dealt by ranges of the key and sorted inside each, so that the files in the order of their numbers
 hold ascending keys; the files go through Spark's own writer (its newline is the end of each record), which commits
-whole tasks only and works with any store.  Reading: each file is one value of Spark's binaryFile source, so files
-are kept small by the number of ranges.  The index has a row for each record (file, offset, length, number of ids),
-with which records can be read in any order.
+whole tasks only and works with any store.  There are as many ranges as the texts' bytes, which are counted, ask for.
+Reading: each file is one value of Spark's binaryFile source, so a file must stay far below 2 GB; ranges have about
+FILE_BYTES of text, and one text can have 2 GB at most.  The index has a row for each record (file, offset, length,
+number of ids), with which records can be read in any order.
 
 Defined results: null text counts as empty; repeated keys give a record each, in any order among them; null keys come
-first.
+first; an empty table gives an empty index.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import struct
@@ -36,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, texts_of
+from .common import blocks, materialize, texts_of
 
 HEAD = struct.Struct("<qIII")
 NULL_KEY = -(1 << 63)
 MASK = 0xA282EAD8
-#: Input bytes (as Spark's optimizer estimates them) for each file.
-FILE_BYTES = 6 << 20
+#: Bytes of text for each file.
+FILE_BYTES = 32 << 20
 MEMO_WORDS = 300_000
 #: Letters that no other character joins in a token, and the mark of a word's last token in the vocabulary.
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
@@ -163,8 +165,8 @@ class WordEncoder:
 def write(df: DataFrame, encoder: WordEncoder, path: str, *, key: str = "doc_id", text: str = "text", end_id: int | None = 1) -> None:
     """Encode ``text`` and write the records to ``path`` in ascending order of ``key``."""
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, size // FILE_BYTES))
+    size = df.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     shared = spark.sparkContext.broadcast(encoder)  # the size of the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,16 +200,27 @@ def scan(spark, path: str) -> DataFrame:
     return files.mapInArrow(run, "key bigint, file string, offset bigint, length bigint, start_in_file bigint, n_ids bigint, ids_crc32 bigint")
 
 
+def before(totals: DataFrame, parts: int) -> DataFrame:
+    """Of (file, n): file and the sum of n over all files with smaller numbers, by sums of ``parts`` files' blocks: a
+    window inside each block, and one over the blocks, so that no task sees more than about the root of the files."""
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint")
+    each = totals.select("file", "n", number.alias("number")).withColumn("block", F.floor(F.col("number") / parts))
+    blocks = each.groupBy("block").agg(F.sum("n").alias("all"))
+    blocks = blocks.select("block", (F.sum("all").over(Window.orderBy("block")) - F.col("all")).alias("since"))
+    own = F.sum("n").over(Window.partitionBy("block").orderBy("number", "file")) - F.col("n")
+    return each.withColumn("own", own).join(blocks, "block").select("file", (F.col("own") + F.col("since")).alias("before"))
+
+
 def index(spark, path: str) -> DataFrame:
     """The offset index, read from the files and written to ``path``/_index: scan()'s columns and ``start``, the
-    number of ids in all records before.  Only a sum for each file goes through one task."""
+    number of ids in all records before."""
     where = f"{path.rstrip('/')}/_index"
     found = scan(spark, path)
     found.write.parquet(where)
     found = spark.read.schema(found.schema).parquet(where)
-    totals = found.groupBy("file").agg(F.sum("n_ids").alias("n"))
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
-    return found.join(F.broadcast(before), "file").select("*", (F.col("before") + F.col("start_in_file")).alias("start"))
+    totals = materialize(found.groupBy("file").agg(F.sum("n_ids").alias("n")), "totals")
+    starts = materialize(before(totals, math.isqrt(totals.count()) + 1), "starts")
+    return found.join(starts, "file").select("*", (F.col("before") + F.col("start_in_file")).alias("start")).drop("before")
 
 
 def fetch(spark, path: str, file: str, offset: int, length: int) -> tuple[int | None, list[int]]:
