@@ -204,10 +204,66 @@ def test_exact_bound_and_guarantee():
         p = quality.upper_bound(k, n, 0.05)
         assert abs(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) - 0.05) < 1e-6
     assert quality.upper_bound(0, 0, 0.05) == quality.upper_bound(5, 5, 0.05) == 1
-    good = [("en", "r", b, n) for b, n in ((0, 3000), (5, 20), (40, 2))]
-    cut = quality.cutoffs(good, ["r"], 0.01, 0.05)["en"]["r"]
-    assert 5 < cut <= 40  # rejecting the two is safe, the twenty-two not
-    assert quality.cutoffs([("en", "r", 0, 30)], ["r"], 0.01, 0.05)["en"]["r"] == quality.GRID + 1  # too few labels
+    def good(*cells):
+        return [dict(cells).get(b, 0) for b in range(quality.GRID + 1)]
+
+    assert 5 < quality.cutoff(good((0, 3000), (5, 20), (40, 2)), 0.01, 0.05) <= 40  # rejecting the two is safe, the twenty-two not
+    assert quality.cutoff(good((0, 30)), 0.01, 0.05) == quality.GRID + 1  # too few labels
+
+
+def brute_judgement(rows, labels, alpha, delta, least_good):
+    """(failed rules, kept) of each (id, text, stratum), by the definition."""
+    from math import ceil, comb, floor
+
+    counts = [brute_statistics(t) for _, t, _ in rows]
+    base = [w < 10 or 100 * r > 20 * w for w, _, _, _, r in counts]
+
+    def scores(c):
+        w, chars, symbols, lines, repeats = c
+        return {"symbols": symbols / chars, "repeats": repeats / w, "lines": min(1.0, 8 * lines / w), "long_words": min(1.0, chars / w / 64), "short_words": 1 / (1 + chars / w), "few_words": 1 / (1 + w / 32)} if w else None
+
+    out = [([], not b) for b in base]
+    good = {s: [i for i, (k, _, x) in enumerate(rows) if x == s and not base[i] for q in [labels.get(k)] if q == 1] for s in {s for _, _, s in rows}}
+    tested = [s for s, g in good.items() if len(g) >= least_good]
+    for s in tested:
+        others = [scores(counts[i]) for i, (k, _, x) in enumerate(rows) if x == s and not base[i] and k not in labels]
+        shape = {}
+        for rule in scores(counts[good[s][0]]):
+            v = sorted(o[rule] for o in others)
+            q = [v[ceil(p * len(v)) - 1] for p in (0.25, 0.75)]
+            shape[rule] = q[1], max(q[1] - q[0], 1 / quality.GRID)
+        level = lambda c, shape=shape: {r: min(quality.GRID, max(0, floor(4 * (x - shape[r][0]) / shape[r][1]))) for r, x in scores(c).items()}
+        worst = [max(level(counts[i]).values()) for i in good[s]]
+        cut, n = quality.GRID + 1, len(worst)
+        while cut > 0:
+            k = sum(x >= cut - 1 for x in worst)
+            # the exact bound is alpha at most if so few rejections are unlikely at alpha
+            if k >= n or sum(comb(n, i) * alpha**i * (1 - alpha) ** (n - i) for i in range(k + 1)) > delta / len(tested):
+                break
+            cut -= 1
+        for i, (_, _, x) in enumerate(rows):
+            if x == s and counts[i][0]:
+                failed = [r for r, b in level(counts[i]).items() if b >= cut]
+                out[i] = failed, not base[i] and not failed
+    return out
+
+
+def test_verdicts_by_brute_force(spark):
+    r = random.Random(6)
+
+    def text(junk):
+        words = ["".join(r.choices("abcdefgh", k=r.randint(1, 12 if not junk else 40))) + ("#$|" * junk) for _ in range(r.randint(12, 60))]
+        return " ".join(words)
+
+    rows = [(i, text(r.random() < 0.15), "de" if i % 3 else None if i % 2 else "few") for i in range(900)]
+    rows += [(2000 + i, t, "de") for i, t in enumerate(ODD)]
+    labels = {i: int("#" not in t) for i, t, s in rows[:900] if r.random() < 0.5 and (s != "few" or i < 60)}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("a.b", F.lit(1))
+    found = {x["doc_id"]: (x["failed_rules"], x["kept"]) for x in quality.judge(df, spark.createDataFrame(list(labels.items()), "doc_id bigint, quality int"), alpha=0.06, least_good=50).collect()}
+    wanted = {k: v for (k, _, _), v in zip(rows, brute_judgement(rows, labels, 0.06, 0.05, 50), strict=True)}
+    assert found == wanted
+    by_stratum = {s: sum(len(wanted[k][0]) > 0 for k, _, x in rows if x == s) for s in ("de", None, "few")}
+    assert by_stratum["de"] and by_stratum[None] and not by_stratum["few"]  # too few labels: the base rules alone
 
 
 def test_quality_judgement(spark, sf_dir):

@@ -6,13 +6,14 @@ quartiles, which are those of the documents without labels.  A document is rejec
 stratum's cutoff.  Labelled documents are the holdout: within each stratum, the share of good documents (quality 1)
 that a cutoff rejects by all rules together has an exact (Clopper-Pearson) upper bound.  The cutoffs are tested from the
 mildest to the strictest until one fails (fixed-sequence testing), each at the whole ``alpha``, so a stratum is one
-hypothesis family; Bonferroni's correction over strata keeps the chance of any error below ``delta``.  Only quartiles
-and the levels' histogram (strata x levels) reach the driver; strata beyond ``max_strata``, the rarest ones, share one
-stratum.
-
-Defined results: null texts have no words and fail the base rules; documents of a stratum without labels, or with a
-null stratum, are judged by the base rules and the cutoffs of the stratum "" (all that have no own one), which without
-labels reject nothing; repeated labels count as often as they occur; labels of unknown documents do not count.
+hypothesis family; Bonferroni's correction over the strata with at least ``least_good`` good labelled documents, which are
+tested, keeps the chance of any error below ``delta``.  Quartiles, levels' histograms and cutoffs are tables with a row
+for each stratum, so there may be any number of strata.
+
+Defined results: null texts have no words and fail the base rules; documents of a stratum that is not tested, or whose
+first test fails, are judged by the base rules alone; a null stratum is one of its own; repeated rows are judged alike,
+and repeated labels, of repeated rows too, count as often as they occur; labels of unknown documents, and null ones, do
+not count; of levels that tie with the cutoff all are rejected; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -100,8 +101,8 @@ def rule_scores() -> dict[str, Column]:
     return {
         "symbols": F.col("n_symbols") / chars,
         "repeats": F.col("n_repeat_words") / words,
-        "lines": F.least(F.lit(1.0), 8 * F.col("n_dup_lines") / words),
-        "long_words": F.least(F.lit(1.0), mean / 64),
+        "lines": F.when(words.isNotNull(), F.least(F.lit(1.0), 8 * F.col("n_dup_lines") / words)),
+        "long_words": F.when(mean.isNotNull(), F.least(F.lit(1.0), mean / 64)),
         "short_words": 1 / (1 + mean),
         "few_words": 1 / (1 + words / 32),
     }
@@ -127,48 +128,51 @@ def upper_bound(k: int, n: int, level: float) -> float:
     return high
 
 
-def cutoffs(histogram: list[tuple[str, str, int, int]], rules: list[str], alpha: float, delta: float) -> dict[str, dict[str, int]]:
-    """For each stratum and rule the smallest bin that is rejected (GRID + 1: none).
-
-    ``histogram``: (stratum, rule, bin, good documents).
-    """
-    counts: dict[tuple[str, str], np.ndarray] = {}
-    for stratum, rule, bin_, good in histogram:
-        counts.setdefault((stratum, rule), np.zeros(GRID + 1, np.int64))[bin_] += good
-    strata = sorted({s for s, _ in counts})
-    level, share = delta / max(1, len(rules) * len(strata)), alpha / max(1, len(rules))
-    out: dict[str, dict[str, int]] = {}
-    for stratum in strata:
-        out[stratum] = {}
-        for rule in rules:
-            good = counts.get((stratum, rule), np.zeros(GRID + 1, np.int64))
-            n, rejected, cut = int(good.sum()), 0, GRID + 1
-            while cut > 0 and upper_bound(rejected + int(good[cut - 1]), n, level) <= share:
-                cut -= 1
-                rejected += int(good[cut])
-            out[stratum][rule] = cut
-    return out
-
-
-def judge(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", quality: str = "quality", alpha: float = 0.03, delta: float = 0.05, max_strata: int = 64) -> DataFrame:
+def cutoff(good: list[int], alpha: float, level: float) -> int:
+    """The smallest level that is rejected (GRID + 1: none), from the numbers of good documents by level."""
+    n, rejected, cut = sum(good), 0, GRID + 1
+    while cut > 0 and upper_bound(rejected + good[cut - 1], n, level) <= alpha:
+        cut -= 1
+        rejected += good[cut]
+    return cut
+
+
+def cutoffs(cells: DataFrame, alpha: float, level: float) -> DataFrame:
+    """(_stratum, _cut) from (_stratum, b, n): good documents by level."""
+    lists = cells.groupBy("_stratum").agg(F.collect_list(F.struct("b", "n")).alias("cells"))  # GRID + 1 at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = []
+            for found in batch.column(1).to_pylist():
+                good = [0] * (GRID + 1)
+                for c in found:
+                    good[c["b"]] += c["n"]
+                cuts.append(cutoff(good, alpha, level))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cuts, pa.int32())], names=["_stratum", "_cut"])
+
+    return lists.mapInArrow(run, "_stratum string, _cut int")
+
+
+def judge(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", quality: str = "quality", alpha: float = 0.03, delta: float = 0.05, least_good: int = 100) -> DataFrame:
     """One row per document: ``key``, the COUNTS, base_failed, kept and failed_rules (an array of rule names)."""
-    spark = documents.sparkSession
-    base = features(documents.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit(""))), text=text, keep=(key, "_stratum"))
+    own = F.when(F.col(f"`{stratum}`").isNull(), "").otherwise(F.concat(F.lit("="), F.col(f"`{stratum}`").cast("string")))
+    base = features(documents.withColumn("_stratum", own), text=text, keep=(key, "_stratum"))
     base = materialize(base, "quality")  # small: no texts
     rules = rule_scores()
+    # the rows of tables with one row a stratum are broadcast if Spark measures that they are few, else dealt
     labelled = base.join(labels.select(F.col(key), F.col(quality).alias("_quality")), key).where((F.col("_quality") == 1) & ~base_failed())
-    large = [r[0] for r in labelled.groupBy("_stratum").count().orderBy(F.desc("count"), "_stratum").limit(max_strata).collect()]
-    own = F.when(F.col("_stratum").isin(large), F.col("_stratum")).otherwise("") if large else F.lit("")
+    tested = materialize(labelled.groupBy("_stratum").agg(F.count("*").alias("n")).where(F.col("n") >= least_good).select("_stratum"), "strata")
+    level = delta / max(1, tested.count())
     # the order of the tests comes from documents without labels, so that it does not depend on the holdout
-    others = base.where(~base_failed()).join(labels.select(key), key, "left_anti")
-    quartiles = others.groupBy(own.alias("s")).agg(*(F.percentile_approx(x, [0.25, 0.75], 1000).alias(f"_{r}") for r, x in rules.items())).collect()
-    shapes = {r["s"]: [(q[1], max(q[1] - q[0], 1 / GRID)) if (q := r[f"_{n}"]) else (0.0, 4 / GRID) for n in rules] for r in quartiles}
-    shape = spark.createDataFrame([(s, *(list(map(float, x)) for x in shapes.get(s, [(0.0, 4 / GRID)] * len(rules)))) for s in {*large, ""}], ", ".join(["s string", *(f"_{r} array<double>" for r in rules)]))
+    others = base.where(~base_failed()).join(labels.select(key), key, "left_anti").join(tested, "_stratum")
+    quartiles = others.groupBy("_stratum").agg(*(F.percentile_approx(x, [0.25, 0.75], 1000).alias(r) for r, x in rules.items()))
+    shape = lambda q: F.when(q.isNull(), F.array(F.lit(0.0), F.lit(4 / GRID))).otherwise(F.array(q[1], F.greatest(q[1] - q[0], F.lit(1 / GRID))))
+    shapes = tested.join(quartiles, "_stratum", "left").select("_stratum", *(shape(F.col(r)).alias(f"_{r}") for r in rules))
+    shapes = materialize(shapes, "shapes")
     levels = {r: F.coalesce(F.least(F.lit(GRID), F.greatest(F.lit(0), F.floor(4 * (x - F.col(f"_{r}")[0]) / F.col(f"_{r}")[1]))), F.lit(0)).cast("int") for r, x in rules.items()}
-    with_shape = lambda d: d.withColumn("s", own).join(F.broadcast(shape), "s")  # noqa: E731  at most max_strata + 1 rows
-    cells = with_shape(labelled).select("s", F.greatest(*levels.values()).alias("b")).groupBy("s", "b").count()
-    found = cutoffs([(r["s"], "all", r["b"], r["count"]) for r in cells.collect()], ["all"], alpha, delta)
-    table = spark.createDataFrame([(s, found[s]["all"] if s in found else GRID + 1) for s in {*large, ""}], "s string, _cut int")
+    cells = labelled.join(shapes, "_stratum").select("_stratum", F.greatest(*levels.values()).alias("b")).groupBy("_stratum", "b").agg(F.count("*").alias("n"))
+    table = materialize(shapes.join(cutoffs(cells, alpha, level), "_stratum"), "cutoffs")
     failed = F.array_compact(F.array(*(F.when(x >= F.col("_cut"), F.lit(r)) for r, x in levels.items())))
-    judged = with_shape(base).join(F.broadcast(table), "s")
+    judged = base.join(table, "_stratum", "left")
     return judged.select(key, *COUNTS, base_failed().alias("base_failed"), failed.alias("failed_rules")).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
