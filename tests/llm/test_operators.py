@@ -303,6 +303,79 @@ def test_language_id(spark, documents):
     assert model.predict([by[a][:200] + " " + by[b]])[0][0] == b
 
 
+def plain_ngrams(text):
+    """Columns of a text's n-grams, one by one."""
+    letters, out = [" "], []
+    for c in (text or "").lower():
+        if c.isalpha():
+            letters.append(c)
+        elif letters[-1] != " ":
+            letters.append(" ")
+    points = [*map(ord, letters), 32, 32]
+    m = 0xFFFFFFFF
+    for i in range(len(letters)):
+        a = points[i] * 0x9E3779B1 & m
+        two = ((a ^ points[i + 1] * 0x85EBCA77 & m) * 0xC2B2AE3D) & m
+        three = ((two ^ points[i + 2] * 0x27D4EB2F & m) * 0x165667B1) & m
+        out += [((a ^ a >> 15) * 0x2C1B3C6D & m) >> 15, (two ^ two >> 13) >> 15, (three ^ three >> 13) >> 15]
+    return Counter(out)
+
+
+def test_classifier_by_brute_force(spark):
+    """Features, document frequencies, FTRL, temperature and prediction without arrays, on a small table."""
+    r = random.Random(8)
+    alphabets = {"aa": "abcde ", "bb": "defgh ", "cc": "éèzxa  "}
+    rows = [(i, "".join(r.choices(alphabets[k], k=r.randint(3, 40))) + "1!", k) for i in range(60) for k in alphabets] + [(900, None, "aa"), (901, "x", None), (902, "12", "bb")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("a.b", F.lit(1))
+    model = langid.train(df, order=F.col("doc_id") * 3 + F.ascii("lang"))
+    texts = sorted(((i * 3 + ord(k[0]), k, plain_ngrams(t)) for i, t, k in rows if k and t and any(map(str.isalpha, t))))
+    seen = Counter(g for _, _, grams in texts for g in grams)
+    idf = {g: np.log((1 + len(texts)) / (1 + n)) + 1 if n > 1 else 0.0 for g, n in seen.items()}
+    value = lambda grams: {g: n / sum(grams.values()) * idf.get(g, 0.0) * langid.SCALE for g, n in grams.items()} | {None: 1.0}
+    names = sorted(alphabets)
+    z, n = Counter(), Counter()
+
+    def weight(g, c):
+        if g is not None and abs(z[g, c]) <= langid.L1:
+            return 0.0
+        pull, ridge = (0, 0) if g is None else (np.sign(z[g, c]) * langid.L1, langid.L2)
+        return -(z[g, c] - pull) / ((langid.BETA + np.sqrt(n[g, c])) / langid.ALPHA + ridge)
+
+    learn = [(value(g), k) for j, (_, k, g) in enumerate(texts) if j % 5 != 4]
+    order = np.random.default_rng(7)
+    for _ in range(langid.EPOCHS):
+        for j in order.permutation(len(learn)):
+            x, k = learn[j]
+            w = {(g, c): weight(g, c) for g in x for c in names}
+            logits = [sum(v * w[g, c] for g, v in x.items()) for c in names]
+            p = np.exp(np.array(logits) - max(logits))
+            p /= p.sum()
+            for c, q in zip(names, p, strict=True):
+                for g, v in x.items():
+                    gradient = v * (q - (c == k))
+                    sigma = (np.sqrt(n[g, c] + gradient**2) - np.sqrt(n[g, c])) / langid.ALPHA
+                    z[g, c] += gradient - sigma * w[g, c]
+                    n[g, c] += gradient**2
+    scores = lambda grams: np.array([sum(v * weight(g, c) for g, v in value(grams).items()) for c in names])
+    held = [(scores(g), names.index(k)) for j, (_, k, g) in enumerate(texts) if j % 5 == 4]
+    loss = lambda t: np.mean([np.log(np.exp(s / t).sum()) - s[k] / t for s, k in held])
+    assert loss(model.temperature) <= min(loss(t) for t in np.exp(np.linspace(np.log(0.25), np.log(20), 400))) + 1e-6
+    for x in langid.predict(df, model).collect():
+        t = next(t for i, t, k in rows if i == x["doc_id"])
+        if not t or not any(map(str.isalpha, t)):
+            assert (x["lang_pred"], x["score"]) == ("und", 0.0)
+    for t in [t for _, t, _ in rows[:40]]:
+        p = np.exp(scores(plain_ngrams(t)) / model.temperature)
+        p /= p.sum()
+        assert model.predict([t])[0] == (names[int(p.argmax())], pytest.approx(p.max(), abs=1e-4))
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the quick brown fox " * 3, "en") for i in range(3000)] + [(5000 + i, f"żółw źdźbło {i}", "pl") for i in range(4)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), order=F.xxhash64("doc_id"), sample_rows=200, least_rows=20)
+    assert model.languages == ["en", "pl"] and model.predict(["źdźbło żółw", "quick fox"])[0][0] == "pl"
+
+
 def test_ngrams_do_not_depend_on_the_batch():
     texts = ["Ab c", "ß!", "d 1 e", "x"]
     grams, begins = langid.ngrams(texts)

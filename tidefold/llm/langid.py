@@ -2,16 +2,19 @@
 
 Features are n-grams (1 to 3 characters) of the lower-cased letters, with one blank between words, hashed into a
 fixed number of columns.  A text's value for a column is its share of the text's n-grams times the inverse document
-frequency in the training sample.  Weights are learned with follow-the-regularised-leader (FTRL-proximal) under an
+frequency in all training documents.  Weights are learned with follow-the-regularised-leader (FTRL-proximal) under an
 elastic-net penalty: the L1 part makes them sparse, the L2 part bounds them.  Temperature calibration on sample
 documents that the weights have not seen turns the scores into probabilities.
 
-The classifier is fitted on at most ``sample_rows`` labelled documents, a documented parameter; what reaches the
-driver are their n-gram counts, at most ``COLUMNS`` pairs for each.  Prediction reads every whole text in one narrow
-pass: the score is linear, so it is a mean of table rows over the text's n-grams.
+Languages and document frequencies come from all training documents; the weights are fitted on a sample of them, a
+documented bound: ``sample_rows`` shared by the languages as they occur, but at least ``least_rows`` for each.  The
+``most_languages`` most frequent languages are learned, as the table has a column for each.  What reaches the driver are
+the sample's n-gram counts and one number for each of the ``COLUMNS`` columns.  Prediction reads every whole text in one
+narrow pass: the score is linear, so it is a mean of table rows over the text's n-grams.
 
-Defined results: null texts and texts without a letter get the language ``und`` and score 0; without any labelled
-text all get it; language, source and id are never inputs of a prediction.
+Defined results: null texts and texts without a letter get the language ``und`` and score 0; without any labelled text
+all get it; of languages that tie the first by name is taken; repeated rows count as often as they occur and get equal
+predictions; language, source and id are never inputs of a prediction; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,16 +160,45 @@ def temperature(logits: np.ndarray, classes: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order: Column | None = None, sample_rows: int = 2000) -> Model:
-    """Fit on the ``sample_rows`` first documents with text and language in the pseudo-random order ``order``."""
-    spark = documents.sparkSession
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """Of all texts (column ``text``) with a letter: their number, and how many have each column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, place = np.zeros(COLUMNS + 1, np.int64), np.zeros(COLUMNS, np.int64)
+        for block in blocks(batches, "text"):
+            some = [t for t in texts_of(block, "text") if has_letter(t)]
+            if not some:
+                continue
+            grams, begins = ngrams(some)
+            total[COLUMNS] += len(some)
+            for a, b in zip(begins, [*begins[1:], len(grams)], strict=True):
+                own = grams[a:b].ravel()
+                at = np.arange(len(own))
+                place[own] = at  # of equal columns, the last one stays
+                total[own[place[own] == at]] += 1
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["at", "n"])
+
+    found = texts.select("text").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COLUMNS + 1, np.int64)
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return int(out[COLUMNS]), out[:COLUMNS]
+
+
+def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order: Column | None = None, sample_rows: int = 2000, least_rows: int = 200, most_languages: int = 256) -> Model:
+    """Fit on the first documents of each language in the pseudo-random order ``order``."""
     some = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = F.xxhash64(F.col(text)) if order is None else order
     keyed = some.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), order.cast("bigint").alias("o"))
+    counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
+    total = sum(counts.values())
     # a hash threshold first, so that the sample is small before it is sorted
-    total = keyed.select("o").count()
-    if total > 4 * sample_rows:
-        keyed = keyed.where(F.col("o") < int(-(1 << 63) + (2 * sample_rows / total) * (1 << 64)))
+    quota, below = F.lit(0), F.lit(False)
+    for language, n in counts.items():
+        most = max(least_rows, sample_rows * n // total)
+        mine = F.col("lang") == F.lit(language)
+        quota = F.when(mine, most).otherwise(quota)
+        below = F.when(mine, F.col("o") < int(-(1 << 63) + (2 * most / n) * (1 << 64)) if n > 4 * most else True).otherwise(below)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -179,16 +211,17 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order
                 a, b, c, d = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.list_(pa.int32())), pa.array(d, pa.list_(pa.float32()))], names=["lang", "o", "grams", "times"])
 
-    counted = keyed.mapInArrow(count, "lang string, o bigint, grams array<int>, times array<float>")
-    sample = counted.orderBy("o", "lang").limit(sample_rows).toArrow()
+    counted = keyed.where(below).mapInArrow(count, "lang string, o bigint, grams array<int>, times array<float>")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("o"))  # of some times the quota
+    sample = counted.withColumn("first", first).where(F.col("first") <= quota).drop("first").orderBy("o", "lang").toArrow()
     languages = sorted(set(sample["lang"].to_pylist()))
     if not languages:
         return Model([], np.zeros((1, 1), np.float32), np.zeros(1), 1.0)
+    documents_, seen = document_frequencies(keyed)
     classes = np.array([languages.index(x) for x in sample["lang"].to_pylist()])
     grams = [np.asarray(x.values) for x in sample["grams"]]
     times = [np.asarray(x.values, np.float64) for x in sample["times"]]
-    seen = np.bincount(np.concatenate(grams), minlength=COLUMNS)
-    idf = np.log((1 + len(grams)) / (1 + seen)) + 1
+    idf = np.log((1 + documents_) / (1 + seen)) + 1
     idf[seen < 2] = 0  # n-grams of a single document say nothing about others
     rows = [(np.concatenate((g, [COLUMNS])), np.concatenate((t / t.sum() * idf[g] * SCALE, [1.0]))) for g, t in zip(grams, times, strict=True)]
     held = np.arange(len(rows)) % 5 == 4  # for the calibration
