@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,12 +193,12 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order
     counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     total = sum(counts.values())
     # a hash threshold first, so that the sample is small before it is sorted
-    quota, below = F.lit(0), F.lit(False)
+    quota, below = {}, F.lit(False)
     for language, n in counts.items():
         most = max(least_rows, sample_rows * n // total)
         mine = F.col("lang") == F.lit(language)
-        quota = F.when(mine, most).otherwise(quota)
-        below = F.when(mine, F.col("o") < int(-(1 << 63) + (2 * most / n) * (1 << 64)) if n > 4 * most else True).otherwise(below)
+        quota[language] = most
+        below = F.when(mine, F.col("o") < int(-(1 << 63) + (1.3 * most / n) * (1 << 64)) if n > 1.3 * most else True).otherwise(below)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -212,8 +212,13 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.list_(pa.int32())), pa.array(d, pa.list_(pa.float32()))], names=["lang", "o", "grams", "times"])
 
     counted = keyed.where(below).mapInArrow(count, "lang string, o bigint, grams array<int>, times array<float>")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("o"))  # of some times the quota
-    sample = counted.withColumn("first", first).where(F.col("first") <= quota).drop("first").orderBy("o", "lang").toArrow()
+    sample = counted.toArrow().sort_by([("o", "ascending"), ("lang", "ascending")])  # somewhat more than the quotas
+    left, taken = dict(quota), []
+    for i, language in enumerate(sample["lang"].to_pylist()):
+        if left[language]:
+            left[language] -= 1
+            taken.append(i)
+    sample = sample.take(pa.array(taken, pa.int64()))
     languages = sorted(set(sample["lang"].to_pylist()))
     if not languages:
         return Model([], np.zeros((1, 1), np.float32), np.zeros(1), 1.0)
