@@ -7,11 +7,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sqltext import Splitter
+from ..operators.sqltext import Splitter, check
 
 
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
-    """file, position, statement and error (for text that does not end as a statement)."""
+    """file, position, statement and error: what check() finds, or text that does not end as a statement."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -20,7 +20,7 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
                 splitter = Splitter()
                 splitter.feed(text or "")
                 found = splitter.take()
-                rows += [(name, i, s, None) for i, s in enumerate(found)]
+                rows += [(name, i, s, check(s)) for i, s in enumerate(found)]
                 if rest := splitter.rest():
                     rows.append((name, len(found), rest, "no end of statement"))
             yield pd.DataFrame(rows, columns=["file", "position", "statement", "error"])
