@@ -38,6 +38,15 @@ def violations(changes: DataFrame, keys: list[str], order: str = "lsn", kind: st
     return checked.withColumn("reason", reason).where(known & F.col("reason").isNotNull()).drop("_live")
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again, which cuts its lineage."""
+    from ..plans import store
+
+    path = store.scratch(df.sparkSession, "lives")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold_key_changes(changes: DataFrame, old: str, new: str, columns: dict[str, Column], order: str = "lsn", kind: str = "kind") -> DataFrame:
     """The live rows where updates may change the key from ``old`` to ``new``: columns ``key`` and ``columns``.
 
@@ -67,7 +76,7 @@ def fold_key_changes(changes: DataFrame, old: str, new: str, columns: dict[str,
         open_ = F.lit(False)
         for c in columns:
             open_ = open_ | ~F.col(f"_has_{c}")
-        state = state.checkpoint() if state.sparkSession.sparkContext.getCheckpointDir() else state.persist()
+        state = _written(state)
         if state.where(open_ & F.col("_parent_at").isNotNull()).isEmpty():
             break
         up = state.where("_until IS NOT NULL").select(F.col("key").alias("_k"), F.col("_until").alias("_u"), *(F.col(c).alias(f"_up_{c}") for c in columns), *(F.col(f"_has_{c}").alias(f"_up_has_{c}") for c in columns), F.col("_parent_key").alias("_pk"), F.col("_parent_at").alias("_pa"))

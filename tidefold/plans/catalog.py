@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lsn, names, payload
 from ..operators import advisor, batching, ddl, filters, fold, framing
 from ..sources import changelog, snapshot
+from . import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -521,3 +522,151 @@ def script_translate(spark, sf_dir):
 
     script = Script.from_text(SCRIPT).translate({"app": "db0_app"})
     return frame(spark, list(enumerate(script.statements)), "position int, statement string")
+
+
+USERS = {"user_id": "int8", "event_type": "text", "value": "float8", "props": "text"}
+#: Where the statements of the replay queries stand in the log.
+FENCE = 500
+
+
+def user_specs() -> list:
+    from .federate import TableSpec
+
+    return [TableSpec(f"db{i}", "public", "users", ("user_id",), dict(USERS)) for i in range(3)]
+
+
+def sequenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.payloads(log_of(spark, sf_dir)).withColumn("seq", F.lit(0).cast("bigint"))
+
+
+def ddl_rows(spark: SparkSession, databases: list[str], statement: str, seq: int) -> DataFrame:
+    """Spool rows with a statement behind the change at FENCE, in its transaction."""
+    import json
+
+    record = json.dumps({"kind": "insert", "schema": "public", "table": "sql_ddl_statements", "columnnames": ["current_query", "search_path"], "columnvalues": [statement, '"$user", public']})
+    rows = frame(spark, [(d, FENCE, FENCE // changelog.XACT, record, d.replace("db", "slot"), seq) for d in databases], "database string, lsn_start bigint, xid bigint, payload string, source_slotname string, seq bigint")
+    return rows.withColumns({"insert_timestamp": F.lit(None).cast("timestamp"), "xid_timestamp": F.lit(None).cast("timestamp")})
+
+
+def federated_users(warehouse) -> DataFrame:
+    out = None
+    for i in range(3):
+        found = warehouse.read(f"db{i}_public.users")
+        found = found.select(F.lit(f"db{i}").alias("database"), *found.columns)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+LATEST = """, r AS (SELECT *, row_number() OVER (PARTITION BY database, user_id ORDER BY lsn DESC) AS rn,
+    last_value(CASE WHEN has_props THEN props END IGNORE NULLS) OVER (PARTITION BY database, user_id ORDER BY lsn
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS p FROM log)
+"""
+
+
+@query(LOG + LATEST + f"SELECT database, user_id, event_type, p AS props, CASE WHEN lsn > {FENCE} THEN value END AS value FROM r WHERE rn = 1 AND kind <> 'delete'")
+def replay_ddl_fence(spark, sf_dir):
+    """A column dropped and added again inside the log: what it held before is gone, and later changes fill it."""
+    from .federate import Warehouse, replay_batch
+
+    spool = sequenced(spark, sf_dir)
+    databases = ["db0", "db1", "db2"]
+    spool = spool.unionByName(ddl_rows(spark, databases, "ALTER TABLE users DROP COLUMN value", 1)).unionByName(ddl_rows(spark, databases, "ALTER TABLE public.users ADD COLUMN value double precision", 2))
+    warehouse = Warehouse(spark, store.scratch(spark, "fence"), buckets=4)
+    replay_batch(warehouse, spool, user_specs(), 0)
+    return federated_users(warehouse)
+
+
+@query(LOG + LATEST + "SELECT database, user_id, event_type, value, p AS props FROM r WHERE rn = 1 AND kind <> 'delete'")
+def replay_same_position(spark, sf_dir):
+    """Sixteen changes share a position and follow one another by their sequence; all are sent twice, in two batches."""
+    from .federate import Warehouse, replay_batch
+
+    spool = sequenced(spark, sf_dir).withColumn("seq", F.col("lsn_start")).withColumn("lsn_start", F.floor(F.col("lsn_start") / 16).cast("bigint"))
+    warehouse = Warehouse(spark, store.scratch(spark, "positions"), buckets=4)
+    replay_batch(warehouse, spool.where("lsn_start <= 40").unionAll(spool.where("lsn_start <= 20")), user_specs(), 0)
+    replay_batch(warehouse, spool.where("lsn_start > 25"), user_specs(), 1)
+    return federated_users(warehouse)
+
+
+@query(LOG + f""", s AS (SELECT min(lsn) AS first FROM log WHERE database = 'db1' AND xid = {FENCE // changelog.XACT}),
+kept AS (SELECT * FROM log WHERE database <> 'db1' OR lsn < (SELECT least(coalesce(first, {FENCE}), {FENCE}) FROM s)),
+q AS (SELECT *, row_number() OVER (PARTITION BY database, user_id ORDER BY lsn DESC) AS rn FROM kept)
+SELECT database, max(lsn) AS progress, count(*) FILTER (WHERE rn = 1 AND kind <> 'delete') AS live FROM q GROUP BY database""")
+def replay_stop(spark, sf_dir):
+    """An unknown statement in one database stops it before its transaction; the others go on, and all is committed."""
+    from .federate import ReplayStopped, Warehouse, replay_batch
+
+    spool = sequenced(spark, sf_dir).unionByName(ddl_rows(spark, ["db1"], "TRUNCATE users", 1))
+    warehouse = Warehouse(spark, store.scratch(spark, "stop"), buckets=4)
+    try:
+        replay_batch(warehouse, spool, user_specs(), 0)
+        raise AssertionError("the replay went on")
+    except ReplayStopped:
+        pass
+    progress = warehouse.manifest()["progress"]
+    rows = frame(spark, [(s.replace("slot", "db"), n) for s, n in progress.items()], "database string, progress bigint")
+    return rows.join(federated_users(warehouse).groupBy("database").agg(F.count("*").alias("live")), "database", "left").select("database", "progress", F.coalesce("live", F.lit(0)).alias("live"))
+
+
+@query(LOG + "SELECT database, count(*) AS n, min(lsn) AS first_lsn, max(lsn) AS last_lsn, max(lsn) + CASE WHEN database = 'db2' THEN 10 ELSE 0 END AS flushed FROM log GROUP BY database")
+def spool_append(spark, sf_dir):
+    """Batches appended to the spool, one of them twice; keepalives advance an idle slot, and never turn it back."""
+    from .spool import Spool
+
+    rows = changelog.payloads(log_of(spark, sf_dir))
+    spool = Spool(spark, store.scratch(spark, "spool"))
+    spool.bootstrap()
+    for batch, part in (("a", "xid % 2 = 0"), ("a", "xid % 2 = 0"), ("b", "xid % 2 = 1")):
+        spool.append(rows.where(part), batch)
+    spool.keepalive("slot2", spool.last_flushed("slot2") + 10)
+    spool.keepalive("slot1", 1)
+    flushed = frame(spark, [(s.replace("slot", "db"), n) for s, n in spool.manifest()["progress"].items()], "database string, flushed bigint")
+    return spool.ordered().groupBy("database").agg(F.count("*").alias("n"), F.min("lsn_start").alias("first_lsn"), F.max("lsn_start").alias("last_lsn")).join(flushed, "database")
+
+
+@query("""SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 4 = 0 THEN 'new' ELSE c_mktsegment END AS c_mktsegment, 900 AS progress FROM customer WHERE c_custkey % 5 <> 1""")
+def backup_then_changes(spark, sf_dir):
+    """A snapshot copied with its slot's position, then changes of which only those after that position count."""
+    from . import federate
+
+    base = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    spec = federate.TableSpec("db0", "sales", "customer", ("c_custkey",), {"c_custkey": "int8", "c_name": "text", "c_nationkey": "int8", "c_mktsegment": "text"})
+    root = store.scratch(spark, "backup")
+    base.write.parquet(f"{root}/pinned")
+    snapshot.create_slot(spark, root, "slot0", 700, {"customer": f"{root}/pinned"})
+    warehouse = federate.Warehouse(spark, f"{root}/tables", buckets=4)
+    violations = federate.base_backup(warehouse, {"customer": snapshot.read_snapshot(spark, root, "slot0", "customer")}, [spec], "slot0", 700)
+    assert violations == {"key of customer": 0}
+    key = F.col("c_custkey").cast("string")
+    old = F.concat(F.lit('"oldkeys":{"keynames":["c_custkey"],"keyvalues":['), key, F.lit("]}}"))
+    update = F.concat(F.lit('{"kind":"update","schema":"sales","table":"customer","columnnames":["c_mktsegment"],"columnvalues":["new"],'), old)
+    delete = F.concat(F.lit('{"kind":"delete","schema":"sales","table":"customer",'), old)
+    row = lambda lsn, p: (F.lit("db0").alias("database"), F.lit(lsn).cast("bigint").alias("lsn_start"), F.lit(1).cast("bigint").alias("xid"), p.alias("payload"), F.lit("slot0").alias("source_slotname"))
+    changes = base.where("c_custkey % 4 = 0").select(*row(800, update)).unionAll(base.where("c_custkey % 5 = 1").select(*row(900, delete))).unionAll(base.where("c_custkey % 3 = 0").select(*row(600, delete)))
+    federate.replay_batch(warehouse, changes, [spec], 1)
+    return warehouse.read("db0_sales.customer").withColumn("progress", F.lit(warehouse.manifest()["progress"]["slot0"]))
+
+
+@query("""SELECT n_nationkey AS id, 'COMMENT ON COLUMN db' || (n_nationkey % 3) || '_app."' || n_name || '".c IS ''app.t; ' || n_name || ''';' AS statement FROM nation
+UNION ALL SELECT 100 + n_nationkey, 'GRANT SELECT ON db' || (n_nationkey % 3) || '_app.t' || n_nationkey || ', other.u TO "' || n_name || '";' FROM nation
+UNION ALL SELECT 200 + n_nationkey, 'SELECT app.id, db' || (n_nationkey % 3) || '_app.f(app.id) FROM db' || (n_nationkey % 3) || '_app.t JOIN x.app ON app.id = t.id;' FROM nation""")
+def statements_moved(spark, sf_dir):
+    """A file of statements made from a table: split, checked and moved to each row's federated schema."""
+    from ..operators.sqltext import Remapper
+    from ..sources.sqlfiles import read_statements
+
+    comment = F.concat(F.lit("COMMENT ON COLUMN app.\""), "n_name", F.lit("\".c IS 'app.t; "), "n_name", F.lit("';"))
+    grant = F.concat(F.lit("GRANT SELECT ON app.t"), F.col("n_nationkey").cast("string"), F.lit(', other.u TO "'), "n_name", F.lit('";'))
+    select = F.lit("SELECT app.id, app.f(app.id) FROM app.t JOIN x.app ON app.id = t.id;")
+    rows = read(spark, sf_dir, "nation")
+    path = store.scratch(spark, "statements")
+    ids = None
+    for n, text in enumerate((comment, grant, select)):
+        part = rows.select((F.col("n_nationkey") + 100 * n).cast("bigint").alias("id"), F.concat(F.lit("/* "), (F.col("n_nationkey") + 100 * n).cast("string"), F.lit(" */ "), text).alias("value"))
+        ids = part if ids is None else ids.unionAll(part)
+    ids.orderBy("id").select("value").write.text(path)
+    found = read_statements(spark, path).where("error IS NULL")
+    number = F.regexp_extract("statement", "[0-9]+", 0).cast("bigint")
+    move = F.udf(lambda text, d: Remapper({"app": f"{d}_app"}).statement(text), "string")
+    moved = found.select(number.alias("id"), F.regexp_replace("statement", r"^/\* [0-9]+ \*/ ", "").alias("s"))
+    return moved.select("id", move("s", F.concat(F.lit("db"), (F.col("id") % 100) % 3)).alias("statement"))

@@ -35,7 +35,7 @@ class Spool:
         now = self.manifest()
         if batch in now["batches"]:
             return False
-        path = f"{self.root}/data/{batch}"
+        path = f"{self.root}/data/batch={batch}"
         # sorted inside the files, so that a scan in order merges runs
         rows.select(*(f.split()[0] for f in SCHEMA.split(", "))).sortWithinPartitions("insert_timestamp", "lsn_start").write.mode("overwrite").partitionBy("database").parquet(path)
         last = {r[0]: r[1] for r in self._read([batch]).where("source_slotname IS NOT NULL").groupBy("source_slotname").agg(F.max("lsn_start")).collect()}
@@ -55,10 +55,11 @@ class Spool:
         return self.manifest()["progress"].get(slot, 0)
 
     def _read(self, batches: list[str]) -> DataFrame:
-        out = self.spark.createDataFrame([], SCHEMA)
-        for b in batches:
-            out = out.unionByName(self.spark.read.schema(SCHEMA).parquet(f"{self.root}/data/{b}"))
-        return out
+        if not batches:
+            return self.spark.createDataFrame([], SCHEMA)
+        paths = [f"{self.root}/data/batch={b}" for b in batches]  # one scan, however many batches there are
+        found = self.spark.read.schema(SCHEMA).option("basePath", f"{self.root}/data").parquet(*paths)
+        return found.select(*(f.split()[0] for f in SCHEMA.split(", ")))
 
     def read(self, database: str | None = None) -> DataFrame:
         """All rows; a database's only from its partitions."""
@@ -78,4 +79,4 @@ class Spool:
                 self._read([b]).write.mode("overwrite").parquet(f"{archive}/{b}")
         self._write(now | {"batches": [b for b in now["batches"] if b not in gone]})
         for b in gone:
-            store.delete(self.spark, f"{self.root}/data/{b}")
+            store.delete(self.spark, f"{self.root}/data/batch={b}")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -45,3 +49,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _path(spark, path)
     fs.delete(where, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that ``spark.checkpoint.dir`` names, or, where all executors are in this process, in a
+    temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="tidefold-")
+    return f"{root.rstrip('/')}/tidefold/{name}-{uuid.uuid4().hex}"
