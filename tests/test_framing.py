@@ -51,6 +51,18 @@ def test_open_transactions_stay_invisible(spark):
     assert {r["n"] for r in found} == {2}
 
 
+def test_running_sums(spark):
+    from tidefold.operators.running import running_sum
+
+    rows = [(g, i * (1 + g), (i * 7) % 3 if i % 5 else None) for g in range(3) for i in range(50)]
+    df = spark.createDataFrame(rows, "g int, o bigint, v int")
+    for block_rows in (1, 7, 1000):
+        for own in (True, False):
+            found = {(r["g"], r["o"]): r["s"] for r in running_sum(df, ["g"], "o", F.col("v"), "s", own=own, block_rows=block_rows).collect()}
+            assert found == {(g, o): sum(w or 0 for h, p, w in rows if h == g and (p < o or own and p == o)) for g, o, _ in rows}
+    assert running_sum(df.limit(0), ["g"], "o", F.col("v"), "s").collect() == []
+
+
 def write_chunks(path, name, rows):
     path.mkdir(exist_ok=True)
     (path / name).write_text("".join(json.dumps(dict(zip(("slot", "database", "seq", "chunk"), r, strict=True))) + "\n" for r in rows))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import route
+from .running import running_sum
 
 
 def by_key(changes: DataFrame, workers: int, keys: list[str], *names: str) -> DataFrame:
@@ -48,8 +49,7 @@ def greedy_batches(rows: DataFrame, group: str, order: str, epoch: str, seconds:
 
 def ddl_epochs(rows: DataFrame, group: str, order: str, is_ddl: str) -> DataFrame:
     """``rows`` with ``epoch``: how many DDL events came before, so that each batch has one schema."""
-    before = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("epoch", F.coalesce(F.sum(F.col(is_ddl).cast("int")).over(before), F.lit(0)))
+    return running_sum(rows, [group], order, F.col(is_ddl), "epoch", own=False)
 
 
 def replay_statistics(changes: DataFrame, *groups: str) -> DataFrame:

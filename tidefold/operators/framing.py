@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .running import running_sum
+
 #: The forms of a chunk.
 FIRST = r'^[{]("xid":[0-9]+,"timestamp":"[^"]+")'
 REGULAR = r"^,?([{].*[}])$"
@@ -33,20 +35,15 @@ def payload(chunk: Column) -> Column:
 def assemble(chunks: DataFrame) -> DataFrame:
     """Changes of whole transactions from (slot, seq, chunk): slot, txn, seq, xid, committed, n, payload.
 
-    A transaction whose last chunk has not come is left out.  One shuffle by slot: a slot is one ordered stream.
+    A transaction whose last chunk has not come is left out.  A slot is one ordered stream of any length: transactions are
+    numbered by running sums of blocks, and what is known of each one is aggregated and joined to its changes.
     """
     kinds = chunks.withColumn("kind", chunk_kind(F.col("chunk")))
-    order = Window.partitionBy("slot").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = kinds.withColumn("txn", F.sum((F.col("kind") == "first").cast("int")).over(order))
+    numbered = running_sum(kinds, ["slot"], "seq", F.col("kind") == "first", "txn")
     xid, committed = header(F.col("chunk"))
-    whole = Window.partitionBy("slot", "txn")
-    known = numbered.withColumns({
-        "xid": F.max(xid).over(whole),
-        "committed": F.max(committed).over(whole),
-        "complete": F.max((F.col("kind") == "last").cast("int")).over(whole),
-        "n": F.sum((F.col("kind") == "regular").cast("bigint")).over(whole),
-    })
-    return known.where("complete = 1 AND kind = 'regular'").select("slot", "txn", "seq", "xid", "committed", "n", payload(F.col("chunk")).alias("payload"))
+    whole = numbered.groupBy("slot", "txn").agg(F.max(xid).alias("xid"), F.max(committed).alias("committed"), F.max(F.col("kind") == "last").alias("complete"), F.count_if(F.col("kind") == "regular").alias("n")).where("complete")
+    changes = numbered.where("kind = 'regular'").join(whole, ["slot", "txn"])
+    return changes.select("slot", "txn", "seq", "xid", "committed", "n", payload(F.col("chunk")).alias("payload"))
 
 
 def copy_data(message: Column) -> dict[str, Column]:
