@@ -125,15 +125,15 @@ class MergeAutomaton:
         return {t: self.text[end - size : end] for t, size, end in zip(self.token, self.size, ends, strict=True)}
 
     def _spell(self) -> None:
-        """The tree of the arcs' labels, read backwards: by byte the next node, by -1 the number of the arc."""
+        """The tree of the arcs' labels, read backwards: by byte the next node and the number of the arc, or -1."""
         self._root = {}
         labels = self.labels()
         for number, t in enumerate(self.token):
             if self.taken[number]:
-                node = self._root
-                for byte in reversed(labels[t]):
-                    node = node.setdefault(byte, {})
-                node[-1] = number
+                node, label = self._root, labels[t]
+                for byte in label[:0:-1]:
+                    node = node.setdefault(byte, ({}, -1))[0]
+                node[label[0]] = node.get(label[0], ({},))[0], number
 
     def path(self, word: bytes) -> tuple[int, ...]:
         """The arcs of the only accepted path that spells ``word``, in time linear in the word.
@@ -152,9 +152,10 @@ class MergeAutomaton:
             since, node = at, root
             while since:
                 since -= 1
-                if (node := node.get(word[since])) is None:
+                if (known := node.get(word[since])) is None:
                     break
-                if (arc := node.get(-1)) is not None:
+                node, arc = known
+                if arc >= 0:
                     arcs.append((since, arc))
             while arcs:
                 since, arc = arcs[-1]
