@@ -46,8 +46,9 @@ MASK = 0xA282EAD8
 #: Bytes of text for each file.
 FILE_BYTES = 32 << 20
 MEMO_WORDS = 300_000
-#: Letters that no other character joins in a token, and the mark of a word's last token in the vocabulary.
+#: Letters and marks that no other character joins in a token, and the mark of a word's last token in the vocabulary.
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+MARKS = r"[!-&(-/:-@\[-`{-~]"
 END_MARK = "</w>"
 
 
@@ -57,7 +58,7 @@ def masked(data: bytes) -> int:
 
 
 def frame(key: int | None, ids: np.ndarray, width: int) -> bytes:
-    payload = ids.astype("<u2" if width == 2 else "<u4").tobytes()
+    payload = ids.astype("<u2" if width == 2 else "<u4", copy=False).tobytes()
     head = HEAD.pack(NULL_KEY if key is None else key, width, len(payload), 0)[:16]
     return b"".join((head, masked(head).to_bytes(4, "little"), payload, masked(payload).to_bytes(4, "little"), b"\n"))
 
@@ -106,8 +107,13 @@ class WordEncoder:
         self.ends = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.ends[i] = token.endswith(END_MARK)
-        self.pure = re.compile(f"({LETTERS}+)([.,!?;:]+)")
+        self.pure = re.compile(f"({LETTERS}+)({MARKS}*)")
         self.letters = re.compile(f"{LETTERS}+")
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        # whether capitals have the ids of small letters
+        capitals = [c for c in map(chr, range(0x41, 0x100)) if self.letters.fullmatch(c) and c != c.lower()]
+        ids = lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.lowers = ids([f"a{c}a" for c in capitals]) == ids([f"a{c.lower()}a" for c in capitals])
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self._ready = True
@@ -119,13 +125,14 @@ class WordEncoder:
         for a in range(0, len(plain), 2000):
             part = plain[a : a + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            data = ids.astype(self.kind)
+            stops = (data.itemsize * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
-                data = ids.astype("<u4").tobytes()
+                data = data.tobytes()
                 out.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
         rest = [w for w in words if w not in out]
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            out[w] = np.array(e.ids, "<u4").tobytes()
+            out[w] = np.array(e.ids, self.kind).tobytes()
         return [out[w] for w in words]
 
     def _learn(self, words: set[str]) -> None:
@@ -134,16 +141,22 @@ class WordEncoder:
         for w in words:
             if w in older:
                 memo[w] = older[w]
-            elif m := self.pure.fullmatch(w):  # letters, then punctuation: never one token
+            elif m := self.pure.fullmatch(w):  # letters, then marks: never one token
                 a, b = m.groups()
+                if self.lowers:
+                    a = a.lower()
+                if a == w:
+                    parts.add(w)
+                    continue
                 composed.append((w, a, b))
-                parts.update(p for p in (a, b) if p not in memo and p not in older)
+                parts.update(p for p in (a, b) if p and p not in memo and p not in older)
             else:
                 parts.add(w)
         parts = list(parts)
         memo.update(zip(parts, self._encode_words(parts), strict=True))
         for w, a, b in composed:
-            memo[w] = (memo.get(a) or older[a]) + (memo.get(b) or older[b])
+            first = memo.get(a) or older[a]
+            memo[w] = first + (memo.get(b) or older[b]) if b else first
 
     def encode_batch(self, texts: list[str], end: int | None = None) -> list[np.ndarray]:
         """The ids of each text, with the id ``end`` after them if given."""
@@ -154,11 +167,11 @@ class WordEncoder:
         missing = set().union(*(words for words in split if words)).difference(self.memo)
         if missing:
             self._learn(missing)
-        tail = b"" if end is None else end.to_bytes(4, "little")
+        tail = b"" if end is None else np.array([end], self.kind).tobytes()
         out, of = [], self.memo.__getitem__
         for t, words in zip(texts, split, strict=True):
-            data = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(of, words))
-            out.append(np.frombuffer(data + tail, "<u4"))
+            data = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() if words is None else b"".join(map(of, words))
+            out.append(np.frombuffer(data + tail, self.kind))
         return out
 
 
@@ -172,7 +185,7 @@ def write(df: DataFrame, encoder: WordEncoder, path: str, *, key: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         encoder.start()
-        width = 2 if max(encoder.size, (end_id or 0) + 1) <= 1 << 16 else 4
+        width = 2 if encoder.size <= 1 << 16 else 4
         for block in blocks(batches, text):
             ids = encoder.encode_batch(texts_of(block, text), end_id)
             keys = block.column(0).to_pylist()
