@@ -152,7 +152,9 @@ def with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     one = F.expr("shiftleft(1L, cast(xxhash64(_id) & 63 as int))")
     bitmap = ids.select(F.shiftright(bit("_id"), 6).alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     met = documents.withColumn("_word", F.shiftright(bit("_id"), 6)).join(F.broadcast(bitmap), "_word")  # 2^(FILTER_BITS - 6) rows at most
-    return met.where(F.col("_bits").bitwiseAND(one) != 0).drop("_word", "_bits").join(ids, "_id", "left_semi")
+    # the exact join is on what the bitmap has let through, so that the optimizer cannot put it before the bitmap
+    met = met.withColumn("_hit", F.when(F.col("_bits").bitwiseAND(one) != 0, F.col("_id"))).where("_hit IS NOT NULL").drop("_word", "_bits")
+    return met.join(ids.select(F.col("_id").alias("_hit")), "_hit", "left_semi").drop("_hit")
 
 
 def verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
