@@ -259,11 +259,17 @@ def join(documents: DataFrame, **options) -> DataFrame:
 def representatives(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents, in their own columns, without those linked with one of smaller id: one row of each component."""
     names = [F.col(f"`{c}`") for c in documents.columns]
-    found = grouped(documents, key=key, text=text, **options).where("_id = component")
-    kept = materialize(found.groupBy(F.col("_id").alias("_tf_id")).agg(F.count("*").alias("_tf_n")), "kept")
+    places = materialize(grouped(documents, key=key, text=text, **options).select(F.col("_id").alias("_tf_id"), "component"), "places")
+    gone = materialize(places.where("_tf_id <> component").select("_tf_id").distinct(), "gone")
+    several = materialize(places.where("_tf_id = component").groupBy("_tf_id").agg(F.count("*").alias("n")).where("n > 1").select("_tf_id"), "several")
     numbered = documents.withColumn("_tf_id", vertex(key, text))
-    out = numbered.join(kept.where("_tf_n = 1"), "_tf_id", "left_semi").select(names)
-    several = kept.where("_tf_n > 1")  # ids of repeated rows
-    if several.isEmpty():
-        return out
-    return out.unionAll(numbered.join(several, "_tf_id", "left_semi").dropDuplicates(["_tf_id"]).select(names))
+    # texts whose bit in a bitmap of the ids to go is not set need no shuffle to stay
+    word, one = F.shiftright(F.xxhash64("_tf_id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6), F.expr("shiftleft(1L, cast(xxhash64(_tf_id) & 63 as int))")
+    bitmap = gone.select(word.alias("_tf_word"), one.alias("_tf_bit")).groupBy("_tf_word").agg(F.bit_or("_tf_bit").alias("_tf_bits"))
+    met = numbered.withColumn("_tf_word", word).join(F.broadcast(bitmap), "_tf_word", "left")  # 2^(FILTER_BITS - 6) rows at most
+    met = met.withColumn("_tf_hit", F.when(F.coalesce("_tf_bits", F.lit(0)).bitwiseAND(one) != 0, F.col("_tf_id"))).drop("_tf_word", "_tf_bits")
+    unsure = met.where("_tf_hit IS NOT NULL").join(gone.select(F.col("_tf_id").alias("_tf_hit")), "_tf_hit", "left_anti").select(*names, "_tf_id")
+    out = met.where("_tf_hit IS NULL").select(*names, "_tf_id").unionAll(unsure)
+    if not several.isEmpty():  # ids of repeated rows: one row of each
+        out = out.join(several, "_tf_id", "left_anti").select(*names, "_tf_id").unionAll(numbered.join(several, "_tf_id", "left_semi").dropDuplicates(["_tf_id"]).select(*names, "_tf_id"))
+    return out.select(names)
