@@ -22,6 +22,7 @@ one another, so repeated rows and null keys give equal rows, and an empty table
 
 from __future__ import annotations
 
+import copy
 import json
 import re
 from array import array
@@ -202,20 +203,27 @@ class Codec:
         merges = [tuple(map(as_bytes, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
         self.automaton = MergeAutomaton(arcs, merges)
         self.added = added
+        self.memo_words = MEMO_WORDS
         self._memo: _Memo | None = None
 
+    def with_memo(self, words: int) -> Codec:
+        """The same codec, keeping so many words and chunks in each Python worker (some 500 bytes for both)."""
+        other = copy.copy(self)
+        other.memo_words, other._memo = words, None
+        return other
+
     @classmethod
     def load(cls, path: str) -> Codec:
         with open(path, encoding="utf-8") as f:
             return cls(json.load(f))
 
     def __getstate__(self) -> dict:
-        return {"automaton": self.automaton, "added": self.added, "_memo": None}
+        return {"automaton": self.automaton, "added": self.added, "memo_words": self.memo_words, "_memo": None}
 
     @property
     def memo(self) -> _Memo:
         if self._memo is None:
-            self._memo = _Memo(self.automaton)
+            self._memo = _Memo(self.automaton, self.memo_words)
             self.labels = self.automaton.labels() | {i: s.encode() for s, i in self.added.items()}
             self._chunks = re.compile(CHUNK)
             self._odd = re.compile(f"[^\\x00-{chr(AGREED)}\\u2010-\\u2027\\u20ac\\u4e00-\\u9fa5]")
@@ -256,9 +264,9 @@ class _Memo(dict):
     """Ids by chunk, and by word in ``words``, each in two generations: when the younger is full, it takes the
     place of the older."""
 
-    def __init__(self, automaton: MergeAutomaton):
+    def __init__(self, automaton: MergeAutomaton, most: int):
         super().__init__()
-        self.automaton, self.older = automaton, {}
+        self.automaton, self.most, self.older = automaton, most, {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.older_words: dict[str, tuple[int, ...]] = {}
         self.split = regex.compile(SPLIT)
@@ -270,7 +278,7 @@ class _Memo(dict):
             if ids is None:
                 ids = self.automaton.path(word.encode("utf-8"))
             if len(word) <= 64:
-                if len(self.words) >= MEMO_WORDS:
+                if len(self.words) >= self.most:
                     self.older_words, self.words = self.words, {}
                 self.words[word] = ids
         return ids
@@ -280,7 +288,7 @@ class _Memo(dict):
         if ids is None:
             ids = tuple(chain.from_iterable(map(self.word, self.split.findall(chunk))))
         if len(chunk) <= 64:
-            if len(self) >= MEMO_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = ids

@@ -31,7 +31,7 @@ def codec(path: str | None = None) -> bpe.Codec:
 
 def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return bpe.round_trip(table(spark, sf_dir, "documents"), codec(), "doc_id", "text", schema, bpe.digests)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), codec().with_memo(250_000), "doc_id", "text", schema, bpe.digests)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
