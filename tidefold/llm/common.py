@@ -19,6 +19,17 @@ _own_root: list[str] = []
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Bytes of a batch of rows that goes to Python, where the session does not say otherwise, and Spark's own number.
+BATCH_BYTES, SPARK_BATCH = 16 << 20, 64 << 20
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches are bounded by BATCH_BYTES, as each task holds a few of them outside of Spark's memory."""
+    if spark.conf.get(BATCH).rstrip("b") == str(SPARK_BATCH):
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that ``spark.checkpoint.dir`` names.
 
@@ -40,6 +51,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Shuffle files of the finished step are released, as the written table replaces them.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = shared_dir(spark, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -87,6 +99,7 @@ def quoted(names: Iterable[str]) -> list[Column]:
 
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow``, also where columns have names that it cannot resolve; ``run`` finds those by position."""
+    small_batches(df.sparkSession)
     names = [f"_tf_{i}" if re.search("[.`]", n) else n for i, n in enumerate(df.columns)]
     return df.toDF(*names).mapInArrow(run, schema)
 

@@ -46,7 +46,7 @@ FREQUENT, FREQUENT_LIST = 4, 2000
 FREQUENT_ALL = 100_000
 #: Bits of the bitmap of candidates (2^24: 2 MB), and shingles kept in a worker while pairs are verified.
 FILTER_BITS = 24
-RECENT = 100_000
+RECENT = 30_000
 
 
 def shingle_hashes(texts: list[bytes], width: int) -> list[np.ndarray]:
