@@ -144,6 +144,31 @@ def test_the_whole_transaction_of_a_stop_waits(spark, tmp_path):
     assert replay_batch(w, spark.createDataFrame(rows, SCHEMA), [SPEC], 0, unknown="quarantine") and len(state_of(w)) == 2
 
 
+def test_a_slot_without_progress_begins_before_all_positions(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    rows = [(-1, record("insert", id=1, a="x", b=1)), (0, record("insert", id=2, a="y", b=2)), (1, record("insert", id=3, a="z", b=3))]
+    assert replay_batch(w, spool(spark, rows[:1]), [SPEC], 0) and w.manifest()["progress"] == {"slot0": -1}
+    assert replay_batch(w, spool(spark, [*rows[:2], (0, record("update", 1, a="n"))]), [SPEC], 1) and w.manifest()["progress"] == {"slot0": 0}
+    assert replay_batch(w, spool(spark, [(0, record("delete", 1)), *rows[2:]]), [SPEC], 2)  # what is sent again is passed over
+    assert state_of(w) == {(1, "n", 1), (2, "y", 2), (3, "z", 3)}
+
+
+def test_replay_stop_applies_the_change_at_position_0(spark, tmp_path):
+    """A user of db1 whose only change is at position 0."""
+    import duckdb
+
+    from tidefold.plans import catalog
+
+    user, kind = "CASE id WHEN 0 THEN 1 ELSE 2 + id % 8 END AS user_id", "CASE id WHEN 0 THEN 'signup' ELSE 'click' END AS event_type"
+    rows = spark.range(0, 700).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' AS ts", user, kind, "id / 2 AS value", "'{}' AS props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    found = {tuple(r) for r in catalog.replay_stop(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert found == set(con.execute(catalog.ORACLE["replay_stop"]).fetchall())
+    assert {r[0]: r[2] for r in found}["db1"] == 3  # users 1, 4 and 7
+
+
 def test_changes_of_one_position(spark, tmp_path):
     """A position may have many changes: they follow one another by their sequence; equal rows are sent again."""
     w = Warehouse(spark, str(tmp_path / "w"))

@@ -110,7 +110,7 @@ class Warehouse:
             files = {b: p for b, p in files.items() if b not in replaced}
             files |= {b: f"{where}/_bucket={b}" for b in replaced if store.exists(self.spark, f"{self.root}/{where}/_bucket={b}")}
             tables[table] = entry | {"files": {str(b): files[b] for b in sorted(files)}, "version": version, "types": change.types, "keys": list(change.keys)}
-        done = old["progress"] | {s: max(n, old["progress"].get(s, 0)) for s, n in progress.items()}
+        done = old["progress"] | {s: max(n, old["progress"].get(s, n)) for s, n in progress.items()}
         new = old | more | {"tables": tables, "progress": done, "batch": old["batch"] if part else batch, "garbage": garbage}
         store.write_text(self.spark, f"{self.root}/manifest.json", json.dumps(new))
         return True
@@ -181,7 +181,7 @@ def _with_base(base: DataFrame | None, changes: DataFrame, spec: TableSpec) -> D
     """The changes, and the base's rows as inserts before all of them."""
     if base is None:
         return changes
-    before = F.struct(F.lit(-1).cast("bigint").alias("lsn"), F.lit(0).cast("bigint").alias("seq"))
+    before = F.struct(F.lit(-(2**63)).cast("bigint").alias("lsn"), F.lit(0).cast("bigint").alias("seq"))
     first = base.select(before.alias("lsn"), F.lit("insert").alias("kind"), *(F.col(k).alias(f"_old_{k}") for k in spec.keys), *spec.types, *(F.lit(True).alias(f"_in_{c}") for c in spec.types))
     return first.unionByName(changes)
 
@@ -328,11 +328,13 @@ def replay_batch(warehouse: Warehouse, spool: DataFrame, specs: list[TableSpec],
     done = warehouse.manifest()
     if batch <= done["batch"]:
         return False
-    past = F.lit(0).cast("bigint")
+    # nothing of a slot without progress was applied, so position 0 is not passed over either
+    past = F.lit(None).cast("bigint")
     for s, n in done["progress"].items():
         past = F.when(F.col("source_slotname") == s, F.lit(n).cast("bigint")).otherwise(past)
+    ahead = F.coalesce(F.col("lsn_start") > past, F.col("lsn_start").isNotNull())
     again = ["database", "source_slotname", "lsn_start", *(["seq"] if "seq" in spool.columns else []), "payload"]
-    fresh = parsed(spool.where(F.col("lsn_start") > past).dropDuplicates(again), slots)
+    fresh = parsed(spool.where(ahead).dropDuplicates(again), slots)
     registries = {d: ddl.SchemaRegistry(**r) for d, r in done["schemas"].items()}
     for spec in specs:
         registry = registries.setdefault(spec.database, ddl.SchemaRegistry({}, {}))
