@@ -20,6 +20,8 @@ from tidefold.llm.queries import codec, table
 
 #: Documents whose calibrated probability of the predicted language is less are rejected.
 LEAST_SCORE = 0.5
+#: Words and chunks whose tokens a worker keeps, fewer than where it does nothing but BPE; any number gives the same tokens.
+MEMO_WORDS = 50_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, and the text decoded from the ids."""
-    return bpe.encode_decode(docs, codec())
+    return bpe.encode_decode(docs, codec().with_memo(MEMO_WORDS))
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pseudonyms", pseudonyms), ("tokens", tokens)]

@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, texts_of
+from .common import blocks, map_arrow, texts_of
 
 #: Fixed value: the public pattern that splits text before the merges of this vocabulary family.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -349,7 +349,7 @@ def encode_decode(df: DataFrame, codec: Codec, *, key: str = "doc_id", text: str
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
             yield pa.RecordBatch.from_arrays([block.column(0), ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(texts, pa.string())], names=[key, "ids", "n_tokens", text])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>, n_tokens bigint, `{text}` string")
+    return map_arrow(df.select(key, text), run, f"`{key}` {kind}, ids array<int>, n_tokens bigint, `{text}` string")
 
 
 def round_trip(df: DataFrame, codec: Codec, key: str, text: str, schema: str, row) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 #: Bytes of a batch of rows that goes to Python, where the session does not say otherwise, and Spark's own number.
-BATCH_BYTES, SPARK_BATCH = 16 << 20, 64 << 20
+BATCH_BYTES, SPARK_BATCH = 4 << 20, 64 << 20
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -97,11 +98,34 @@ def quoted(names: Iterable[str]) -> list[Column]:
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
+def release() -> None:
+    """Give memory that this process has freed back to the system, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """``run``, after which the worker releases what it has freed: it waits for its next task beside Spark's own work."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow``, also where columns have names that it cannot resolve; ``run`` finds those by position."""
+    """``df.mapInArrow``, also where columns have names that it cannot resolve; ``run`` finds those by position.
+
+    Batches are small, and workers release their memory at the end of each task.
+    """
     small_batches(df.sparkSession)
     names = [f"_tf_{i}" if re.search("[.`]", n) else n for i, n in enumerate(df.columns)]
-    return df.toDF(*names).mapInArrow(run, schema)
+    return df.toDF(*names).mapInArrow(releasing(run), schema)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE_WORDS, blocks, bytes_of, discard, materialize, mix64, prefix_sums, span_hash, window_hash, word_spans
+from .common import LOWER, SPACE_WORDS, blocks, bytes_of, discard, map_arrow, materialize, mix64, prefix_sums, span_hash, window_hash, word_spans
 from .graph import components
 
 #: The longest extension of a prefix, and the cost of a verification in list entries.
@@ -98,7 +98,7 @@ def frequent_tokens(documents: DataFrame, text: str, width: int) -> np.ndarray:
         top = top[times[top] >= FREQUENT]
         yield pa.RecordBatch.from_arrays([pa.array(tokens[top].view(np.int64)), pa.array(times[top])], names=["token", "times"])
 
-    counted = documents.select(text).mapInArrow(run, "token bigint, times bigint").groupBy("token").agg(F.sum("times").alias("times"))
+    counted = map_arrow(documents.select(text), run, "token bigint, times bigint").groupBy("token").agg(F.sum("times").alias("times"))
     found = counted.orderBy(F.desc("times"), "token").limit(FREQUENT_ALL).select("token").toArrow()
     return np.sort(found["token"].to_numpy().astype(np.int64).view(np.uint64))
 
@@ -128,7 +128,7 @@ def prefixes(documents: DataFrame, key: str, text: str, width: int, percent: int
             long = pa.int64()
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array(n, long), pa.array(s1, long), pa.array(s2, long), pa.array(base, long), pa.array(prefix, pa.list_(long))], names=["_id", "n", "s1", "s2", "base", "prefix"])
 
-    return documents.select(vertex(key, text).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, "_id bigint, n bigint, s1 bigint, s2 bigint, base bigint, prefix array<bigint>")
+    return map_arrow(documents.select(vertex(key, text).alias("_id"), F.col(text).alias("_text")), run, "_id bigint, n bigint, s1 bigint, s2 bigint, base bigint, prefix array<bigint>")
 
 
 #: Null ids count as numbers from here on, made of the text; ids are less.
@@ -188,7 +188,7 @@ def verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, width:
                 if any(hit):
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    links = materialize(met.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint"), "links")
+    links = materialize(map_arrow(met.select("a", "b", "ta", "tb"), run, "a bigint, b bigint"), "links")
     discard(pairs)
     discard(texts)
     return links

@@ -179,7 +179,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["at", "n"])
 
-    found = texts.select("text").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = map_arrow(texts.select("text"), run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(COLUMNS + 1, np.int64)
     out[found["at"].to_numpy()] = found["n"].to_numpy()
     return int(out[COLUMNS]), out[:COLUMNS]
@@ -211,7 +211,7 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", order
                 a, b, c, d = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.list_(pa.int32())), pa.array(d, pa.list_(pa.float32()))], names=["lang", "o", "grams", "times"])
 
-    counted = keyed.where(below).mapInArrow(count, "lang string, o bigint, grams array<int>, times array<float>")
+    counted = map_arrow(keyed.where(below), count, "lang string, o bigint, grams array<int>, times array<float>")
     sample = counted.toArrow().sort_by([("o", "ascending"), ("lang", "ascending")])  # somewhat more than the quotas
     left, taken = dict(quota), []
     for i, language in enumerate(sample["lang"].to_pylist()):
