@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -613,6 +614,66 @@ def test_word_encoder_equals_library():
         assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+class Counted:
+    """A tokenizer that notes the words it is given."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += [w for t in texts for w in t.split(" ")]
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_the_library_sees_each_piece_of_words_once():
+    encoder = records.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    encoder.start()
+    seen = []
+    for name in ("tokenizer", "small"):
+        if hasattr(encoder, name):
+            setattr(encoder, name, Counted(getattr(encoder, name), seen))
+    numbers = [f"555-{i:04d}" for i in range(1000)]
+    words = [f"{a}{mark}{b}" for a in ("The", "the", "THE", "été", "ÉTÉ") for mark in (",", "...", "@", "-", "") for b in ("", "sea.", "Sea", "7")]
+    encoder.encode_batch([" ".join(numbers), " ".join(words), "\n".join(words)])
+    assert len(seen) == len(set(seen)) < 40
+
+
+def test_words_are_cut_as_the_library_does(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    r = random.Random(5)
+    pieces = ["a", "b", "Th", "é", "É", "ß", "ÿ", "Ÿ", "×", "÷", "À", "1", "23", "'", "'s", "'LL", "-", "_", "!?", "*", " ", " ", " ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x00", "\xa0", "\x85"]
+    pieces += ["你好", "🙂", "\u0301", "J\u030c", "ǰ", "ſ", "\u212a", "ª", "²", "½", "٣", "<|endoftext|>", "<|END", "|>", "</w>", "İ", "ẞ", "\u200d", "\u3000"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.choice([0, 3, 10, 40, 400]))) for _ in range(1000)] + ["x" * 10_000, "no end " * 2000]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for portion, memo in ((50, 300_000), (1000, 50), (1 << 20, 2)):
+        monkeypatch.setattr(records, "PORTION_BYTES", portion)
+        monkeypatch.setattr(records, "MEMO_WORDS", memo)
+        encoder = records.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+        assert [x.tolist() for x in encoder.encode_column(pa.array([None, *texts, "no"]).slice(1, len(texts)))] == want
+        assert [x.tolist() for x in encoder.encode_column(pa.array([None, texts[5], ""]), 1)] == [[1], [*want[5], 1], [1]]
+        assert len(encoder.memo.place) == len(encoder.memo.size)
+    assert encoder.encode_column(pa.array([], pa.string())) == []
+
+
+def test_a_tokenizer_that_cuts_words_otherwise():
+    """Words are then one piece each, and capitals are not small letters."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"] = None
+    spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    library = Tokenizer.from_str(json.dumps(spec))
+    texts = ["The sea, the SEA; 12 34a é.É\tso... it's 你好 _a", "", "a<|endoftext|>b THE the"]
+    encoder = records.WordEncoder("", json.dumps(spec))
+    assert [x.tolist() for x in encoder.encode_batch(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert not encoder.cuts and not encoder.lowers
+
+
 def test_damaged_records_are_found():
     good = records.frame(5, np.array([1, 2, 70_000]), 4) + records.frame(None, np.array([], np.int64), 2)
     assert [(k, ids.tolist()) for k, _, _, ids in records.frames(good)] == [(5, [1, 2, 70_000]), (None, [])]
